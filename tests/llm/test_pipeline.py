@@ -1,0 +1,44 @@
+from __future__ import annotations
+
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from editloom.llm import queries
+from editloom.llm.common import read_table
+
+from . import brute
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages(spark):
+    docs = read_table(spark, SF, "documents").unionByName(
+        spark.createDataFrame([(5000, None, None, "x", 0), (5001, "123 !!", None, "x", 6), (5002, "", "en", None, 0)], "doc_id long, text string, lang string, source string, n_chars long"))
+    columns = docs.columns
+    stages = dict(corpus_pipeline.STAGES)
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "near_duplicates", "mix_sources", "encode"]
+    kept = stages["language_id"](spark, docs, SF).cache()
+    texts = {r["doc_id"]: r["text"] for r in kept.collect()}
+    assert kept.columns == columns and {5000, 5001, 5002} & set(texts) == set() and len(texts) == 200
+
+    single = stages["near_duplicates"](spark, kept, SF).cache()
+    keys = sorted(texts)
+    groups = brute.components(keys, [brute.simhash(texts[k]) for k in keys])
+    assert single.columns == columns and sorted(r["doc_id"] for r in single.collect()) == sorted(set(groups))
+    assert stages["near_duplicates"](spark, kept.union(kept), SF).count() == single.count()
+
+    mixed = stages["mix_sources"](spark, single, SF).cache()
+    times = Counter(r["doc_id"] for r in mixed.collect())
+    assert mixed.columns == columns and set(times) <= set(groups) and max(times.values()) <= 3
+
+    last = stages["encode"](spark, mixed, SF)
+    whole = {r["doc_id"]: r["ids_sha256"] for r in queries.op2_segment_tree_bpe(spark, SF).collect()}
+    assert Counter(r["doc_id"] for r in last.collect()) == times
+    assert all(r["ids_sha256"] == whole[r["doc_id"]] for r in last.collect())
+
+
+def test_run_repeats(spark):
+    once, again = (corpus_pipeline.run(spark, SF).groupBy("doc_id", "ids_sha256").agg(F.count("*")).collect() for _ in range(2))
+    assert sorted(once) == sorted(again) and once
