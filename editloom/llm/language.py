@@ -98,8 +98,8 @@ class Classifier:
         return [(self.languages[b], float(s)) if ok else (UNKNOWN, 0.0) for b, s, ok in zip(best, sure, lettered, strict=True)]
 
 
-def fit(examples: list[tuple[str, list[int]]], landmarks_per_language: int = LANDMARKS_PER_LANGUAGE, ridge: float = RIDGE) -> Classifier:
-    """Fits on (language, hashed n-grams) examples; those first in each language are the landmarks."""
+def fit(examples: list, landmarks_per_language: int = LANDMARKS_PER_LANGUAGE, ridge: float = RIDGE) -> Classifier:
+    """Fits on (language, integer array of hashed n-grams) examples; those first in each language are the landmarks."""
     import numpy as np
 
     languages = sorted({lang for lang, _ in examples})
@@ -108,25 +108,27 @@ def fit(examples: list[tuple[str, list[int]]], landmarks_per_language: int = LAN
     for lang, bins in examples:
         if taken.get(lang, 0) < landmarks_per_language and len(bins):
             taken[lang] = taken.get(lang, 0) + 1
-            marks.append(np.asarray(bins))
+            marks.append(bins)
     vocabulary = np.unique(np.concatenate(marks)) if marks else np.zeros(0, np.int64)
     column = np.full(BINS, len(vocabulary), np.int32)
     column[vocabulary] = np.arange(len(vocabulary))
 
     def matrix(rows):
+        """Unit presence vectors of a few texts; held for landmarks and for one batch of examples at a time."""
         x = np.zeros((len(rows), len(vocabulary) + 1), np.float32)
         for i, bins in enumerate(rows):
-            x[i, column[np.asarray(bins, np.int64)]] = 1
+            x[i, column[bins]] = 1
         x = x[:, :-1]
-        return x / np.sqrt(np.maximum(1.0, x.sum(axis=1)))[:, None]
+        x /= np.sqrt(np.maximum(1.0, x.sum(axis=1)))[:, None]
+        return x
 
     if not marks:
         return Classifier([], column, np.zeros((0, 0), np.float32))
-    landmark, train = matrix(marks), matrix([b for _, b in examples])
+    landmark = matrix(marks)
     values, vectors = np.linalg.eigh((landmark @ landmark.T).astype(np.float64))
     good = values > 1e-6 * values.max()
     root = vectors[:, good] / np.sqrt(values[good])  # K(x, landmarks) @ root are the Nystroem features
-    phi = (train @ landmark.T) @ root
+    phi = np.concatenate([(matrix([b for _, b in examples[i : i + 64]]) @ landmark.T) @ root for i in range(0, len(examples), 64)])
     y = np.array([[1.0 if lang == own else -1.0 for lang in languages] for own, _ in examples])
     share = (y > 0).mean(axis=0)
     weight = 1.0 / np.array([share[languages.index(own)] for own, _ in examples])  # each language counts alike
@@ -145,6 +147,7 @@ def learn(documents: DataFrame, key: str = "doc_id", text: str = "text", label:
 
     Rows without label, text or letters are not learned from. More than MOST_LANGUAGES labels are refused.
     """
+    import numpy as np
     import pyarrow as pa
 
     rows = documents.where(F.col(label).isNotNull() & F.col(text).isNotNull() & ~held_out(F.col(key)))
@@ -156,19 +159,18 @@ def learn(documents: DataFrame, key: str = "doc_id", text: str = "text", label:
     chosen = rows.join(F.broadcast(ids), (F.col("key") == F.col("k")) & (F.col("label") == F.col("l"))).select("label", "h", "text")
 
     def grams(batches: Iterator) -> Iterator:
-        import numpy as np
-
         for batch in batches:
             found = []
             for t in batch.column(2).to_pylist():
                 bins = list(gram_bins(letter_codes(t)))
-                found.append(np.unique(np.concatenate(bins)).tolist() if bins else [])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))], names=["label", "h", "bins"])
+                found.append(np.unique(np.concatenate(bins)).astype(np.int32).tobytes() if bins else b"")
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], names=["label", "h", "bins"])
 
-    sample = chosen.mapInArrow(grams, "label string, h long, bins array<long>").where(F.size("bins") > 0).collect()
+    sample = chosen.mapInArrow(grams, "label string, h long, bins binary").where(F.length("bins") > 0).collect()
     if len({r["label"] for r in sample}) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    return fit([(r["label"], r["bins"]) for r in sorted(sample, key=lambda r: (r["label"], r["h"], len(r["bins"])))])
+    ordered = sorted(sample, key=lambda r: (r["label"], r["h"], bytes(r["bins"])))
+    return fit([(r["label"], np.frombuffer(r["bins"], np.int32)) for r in ordered])
 
 
 def predict(documents: DataFrame, classifier: Classifier, text: str = "text") -> DataFrame:
