@@ -147,7 +147,11 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
 
 
 def one_of_each_group(documents: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, radius: int = RADIUS) -> DataFrame:
-    """The document of least key of each component, with all its columns; of repeated rows one stays."""
-    found = near_duplicates(documents, key, text, words, radius)
-    kept = found.where(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("_kept")).distinct()
-    return documents.join(kept, documents[key].eqNullSafe(kept["_kept"]), "left_semi").dropDuplicates([key])
+    """The document of least key of each component, with all its columns; of repeated rows one stays.
+
+    A document without key goes by a hash of its text, above all keys, so it stays if its group has no other document.
+    """
+    above = F.xxhash64(text).bitwiseAND(F.lit(2**62 - 1)).bitwiseOR(F.lit(2**62))
+    keyed = documents.withColumn("_key", F.coalesce(F.col(key).cast("long"), above))
+    kept = near_duplicates(keyed, "_key", text, words, radius).where("_key = component_id").select("_key").distinct()
+    return keyed.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
