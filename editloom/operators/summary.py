@@ -83,7 +83,7 @@ def amplicon_percentiles(dense: DataFrame, params: QualityParams = QualityParams
 
 def amplicon_score(dense: DataFrame, params: QualityParams = QualityParams()) -> DataFrame:
     """(cell, amplicon_score, read_count): sum over tiers of weight times the share of amplicons at or above the tier's quantile."""
-    rows = scored_rows(dense, params).join(F.broadcast(amplicon_percentiles(dense, params)), "amplicon")  # one row for each amplicon of the panel
+    rows = scored_rows(dense, params).join(amplicon_percentiles(dense, params), "amplicon")
     points = sum((F.when(F.col("raw_tot") >= F.get("quantiles", F.lit(i)), w).otherwise(0) for i, w in enumerate(params.weights)), F.lit(0))
     return rows.groupBy("cell").agg((F.sum(points) / F.count("*")).alias("amplicon_score"), F.sum("raw_tot").cast("long").alias("read_count"))
 
