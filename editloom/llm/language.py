@@ -27,6 +27,7 @@ TEXTS_PER_LANGUAGE = 300
 LANDMARKS_PER_LANGUAGE = 60
 MOST_LANGUAGES = 200
 RIDGE = 1e-2
+SALTS = 16
 _BLOCK = 1 << 16
 
 
@@ -152,8 +153,11 @@ def learn(documents: DataFrame, key: str = "doc_id", text: str = "text", label:
 
     rows = documents.where(F.col(label).isNotNull() & F.col(text).isNotNull() & ~held_out(F.col(key)))
     rows = rows.select(F.col(label).alias("label"), F.col(key).alias("key"), F.xxhash64(F.lit(7), key).alias("h"), F.col(text).alias("text"))
-    first = Window.partitionBy("label").orderBy("h", "key")
-    ids = rows.select("label", "key", "h").withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language)
+    # First within parts of each label, then among what is left of them: a label of a third of all rows is no hot task.
+    ids = rows.select("label", "key", "h", F.pmod(F.xxhash64(F.lit(11), "key"), F.lit(SALTS)).alias("salt"))
+    for keys in (["label", "salt"], ["label"]):
+        first = Window.partitionBy(*keys).orderBy("h", "key")
+        ids = ids.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language)
     # At most per_language * MOST_LANGUAGES ids: a bounded table.
     ids = ids.select(F.col("label").alias("l"), F.col("key").alias("k")).distinct().limit(per_language * MOST_LANGUAGES)
     chosen = rows.join(F.broadcast(ids), (F.col("key") == F.col("k")) & (F.col("label") == F.col("l"))).select("label", "h", "text")
