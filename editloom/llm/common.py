@@ -55,12 +55,23 @@ def range_bounds(df: DataFrame, key: Column, buckets: int) -> list[int]:
     return [] if found["least"] is None else sorted({found["least"], *(found["cuts"] or [])})
 
 
+def constant_array(values: list, kind: str) -> Column:
+    """A constant array<kind>: one literal, however many values."""
+    if not values:
+        return F.array().cast(f"array<{kind}>")
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{kind}>")
+
+
+def count_at_most(values: list, x: Column, kind: str = "bigint") -> Column:
+    """How many of the ascending values are at most x, by binary search."""
+    array = constant_array(values, kind)
+    steps = F.lit([1 << i for i in reversed(range(len(values).bit_length()))]) if values else F.array().cast("array<int>")
+    return F.aggregate(steps, F.lit(0), lambda n, step: F.when(F.get(array, n + step - 1) <= x, n + step).otherwise(n))
+
+
 def range_bucket(key: Column, bounds: list[int]) -> Column:
     """Number of the range that a key is in: 0 to len(bounds) - 1."""
-    if len(bounds) < 2:
-        return F.lit(0)
-    cuts = F.lit(bounds[1:])
-    return F.size(F.filter(cuts, lambda cut: cut <= key))
+    return count_at_most(bounds[1:], key)
 
 
 def with_running_total(df: DataFrame, within: list[str], bucket: str, order: list, amount: str, start: str) -> DataFrame:

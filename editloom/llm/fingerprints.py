@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bucket_count, order_key, range_bounds, range_bucket
+from .common import bucket_count, constant_array, order_key, range_bounds, range_bucket
 
 TOKEN_CHARS = 8
 #: A packed k-mer holds 36 bits of hash above 28 bits of position, so that plain sorts of longs order it.
@@ -109,9 +109,8 @@ def with_next_text(documents: DataFrame, key: str, text: str) -> DataFrame:
         bounds = [0]
     rows = docs.withColumn("bucket", range_bucket(place, bounds)).withColumn("border", F.lit(0))
     # The bounds are keys themselves: bucket b - 1 gets the first row of bucket b, the last bucket that of bucket 0.
-    target = {bound: (i - 1) % len(bounds) for i, bound in enumerate(bounds)}
-    lookup = F.create_map(*[F.lit(x) for pair in target.items() for x in pair])
-    borders = docs.where(place.isin(bounds)).withColumn("bucket", F.element_at(lookup, place)).withColumn("border", F.lit(1))
+    first = F.get(constant_array(bounds, "bigint"), F.col("bucket")) == place
+    borders = rows.where(first).withColumn("bucket", F.pmod(F.col("bucket") - 1, F.lit(len(bounds)))).withColumn("border", F.lit(1))
     every = rows.unionByName(borders)
     order = Window.partitionBy("bucket").orderBy("border", order_key(F.col("key")), "text")
     return every.withColumn("next_text", F.lead("text").over(order))

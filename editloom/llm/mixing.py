@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bucket_count, with_running_total, written
+from .common import bucket_count, count_at_most, with_running_total, written
 
 GOLDEN = 0.6180339887498949
 WORD = r"[^\x20\x09-\x0D]+"
@@ -81,7 +81,7 @@ class Mixture:
         point = (i + F.lit(0.5)) * F.lit(GOLDEN)
         at = (point - F.floor(point)) * F.lit(upto)
         plan = spark.range(total).withColumnRenamed("id", "i").withColumn(
-            "s", F.least(F.size(F.filter(F.lit(bounds or [0.0]), lambda b: b <= at)), F.lit(max(0, len(bounds) - 1))))
+            "s", F.least(count_at_most(bounds, at, "double"), F.lit(max(0, len(bounds) - 1))))
         plan = plan.withColumn("one", F.lit(1)).withColumn("bucket", F.floor(i * buckets / max(1, total)).cast("int"))
         plan = with_running_total(plan, ["s"], "bucket", ["i"], "one", "rank").join(F.broadcast(self.sources.select("s", "blocks")), "s")
         plan = plan.withColumn("epoch", F.floor(F.col("rank") / F.col("blocks"))).withColumn("block", F.col("rank") % F.col("blocks"))

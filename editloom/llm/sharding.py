@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucket_count, order_key, range_bounds, range_bucket, with_running_total, written
+from .common import bucket_count, constant_array, count_at_most, order_key, range_bounds, range_bucket, with_running_total, written
 
 FIRST_INTERVALS = 1 << 16
 MORE_INTERVALS = 1 << 14
@@ -34,9 +34,10 @@ class Totals:
         """Gets more totals inside open intervals of neighbouring known totals."""
         import numpy as np
 
-        lows, highs = F.lit([a for a, _ in intervals]), F.lit([b for _, b in intervals])
+        highs = constant_array([b for _, b in intervals], "bigint")
+        lows = constant_array([a for a, _ in intervals], "bigint")
         share = max(1, buckets // max(1, len(intervals)))
-        at = F.size(F.filter(lows, lambda a: a < F.col("end"))) - 1
+        at = count_at_most([a for a, _ in intervals], F.col("end") - 1) - 1
         rows = self.groups.select("end", at.alias("at")).where("at >= 0").where(F.col("end") < F.get(highs, F.col("at")))
         part = F.floor((F.col("end") - F.get(lows, F.col("at"))).cast("double") * share / (F.get(highs, F.col("at")) - F.get(lows, F.col("at"))))
         found = rows.groupBy("at", part.alias("part")).agg(F.min("end").alias("a"), F.max("end").alias("b"), F.count("*").alias("n")).collect()
@@ -108,7 +109,7 @@ def shard_documents(documents: DataFrame, shards: int, key: str = "doc_id", text
     groups = with_running_total(groups, [], "bucket", ["first", "text_id"], "bytes", "start")
     groups = written(groups.select("text_id", "start", (F.col("start") + F.col("bytes")).alias("end")), "shard-groups")
     _, cuts = minimax_cuts(groups, shards)
-    shard = F.size(F.filter(F.lit(cuts), lambda c: c <= F.col("start"))) if cuts else F.lit(0)
+    shard = count_at_most(cuts, F.col("start"))
     placed = rows.join(groups.select("text_id", shard.alias("shard")), "text_id")
     placed = placed.withColumn("bucket", range_bucket(place, bounds)).withColumn("one", F.lit(1))
     placed = with_running_total(placed, ["shard"], "bucket", [place, "text_id"], "one", "slot")
