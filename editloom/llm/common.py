@@ -34,6 +34,12 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_names(df: DataFrame, *stems: str) -> list[str]:
+    """The stems, each with as many underscores in front as it takes to differ from all columns of df, whatever their case."""
+    taken = {c.lower() for c in df.columns}
+    return [next(name for i in range(len(taken) + 1) if (name := "_" * i + stem).lower() not in taken) for stem in stems]
+
+
 def bucket_count(spark: SparkSession, per_partition: int = 4) -> int:
     return max(16, per_partition * int(spark.conf.get("spark.sql.shuffle.partitions")))
 

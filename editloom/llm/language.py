@@ -19,6 +19,8 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import free_names
+
 MOST = 4
 BINS = 1 << 20
 UNKNOWN = "und"
@@ -183,7 +185,8 @@ def predict(documents: DataFrame, classifier: Classifier, text: str = "text") ->
 
     model = documents.sparkSession.sparkContext.broadcast(classifier)  # one number for each n-gram of at most 60 landmarks a language
     kept = [c for c in documents.columns if c not in ("lang_pred", "score")]
-    rows = documents.select(*[F.col(f"`{c}`") for c in kept], F.col(text).alias("_text"))
+    (body,) = free_names(documents, "_text")
+    rows = documents.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").alias(body))
 
     def classify(batches: Iterator) -> Iterator:
         for batch in batches:

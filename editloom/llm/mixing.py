@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bucket_count, count_at_most, with_running_total, written
+from .common import bucket_count, free_names, count_at_most, with_running_total, written
 
 GOLDEN = 0.6180339887498949
 WORD = r"[^\x20\x09-\x0D]+"
@@ -118,6 +118,7 @@ def mixed_documents(documents: DataFrame, key: str = "doc_id", source: str = "so
     mix = Mixture(documents, key, source, text, **parameters)
     times = mix.slots.groupBy("s", "block").agg(F.count("*").alias("times"))
     first = mix.parts().where("first_word = 0 and size > 0")
-    copies = first.join(times, ["s", "block"]).groupBy("key").agg(F.max("times").cast("int").alias("_copies"))
-    out = documents.join(copies, documents[key].eqNullSafe(copies["key"])).where(word_count(documents[text]) > 0)
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(*[documents[c] for c in documents.columns])
+    place, copies, copy = free_names(documents, "_key", "_copies", "_copy")
+    counts = first.join(times, ["s", "block"]).groupBy(F.col("key").alias(place)).agg(F.max("times").cast("int").alias(copies))
+    out = documents.join(counts, F.col(f"`{key}`").eqNullSafe(F.col(place))).where(word_count(F.col(f"`{text}`")) > 0)
+    return out.withColumn(copy, F.explode(F.sequence(F.lit(1), copies))).select(*[F.col(f"`{c}`") for c in documents.columns])

@@ -16,7 +16,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import free_names, written
 from .components import connected_components
 
 RADIUS = 3
@@ -152,6 +152,7 @@ def one_of_each_group(documents: DataFrame, key: str = "doc_id", text: str = "te
     A document without key goes by a hash of its text, above all keys, so it stays if its group has no other document.
     """
     above = F.xxhash64(text).bitwiseAND(F.lit(2**62 - 1)).bitwiseOR(F.lit(2**62))
-    keyed = documents.withColumn("_key", F.coalesce(F.col(key).cast("long"), above))
-    kept = near_duplicates(keyed, "_key", text, words, radius).where("_key = component_id").select("_key").distinct()
-    return keyed.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
+    (own,) = free_names(documents, "_key")
+    keyed = documents.withColumn(own, F.coalesce(F.col(key).cast("long"), above))
+    kept = near_duplicates(keyed, own, text, words, radius).where(F.col(own) == F.col("component_id")).select(own).distinct()
+    return keyed.join(kept, own, "left_semi").dropDuplicates([own]).drop(own)

@@ -19,8 +19,8 @@ from .byte_bpe import byte_bpe
 
 CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 1_024
-#: The first character of a match is no white space, the second is; (?U): as Unicode has it.
-STABLE = r"(?U)\S[ \n]"
+#: All up to the first character that is no white space (as Unicode has it) and is followed by a space or line end.
+UP_TO_STABLE = r"(?sU)^.*?\S(?=[ \n])"
 
 
 def chunk_array(text: Column, chunk_chars: int = CHUNK_CHARS, overlap_chars: int = OVERLAP_CHARS) -> Column:
@@ -31,8 +31,8 @@ def chunk_array(text: Column, chunk_chars: int = CHUNK_CHARS, overlap_chars: int
     def boundary(j: Column) -> Column:
         """(at, seen): the first stable boundary from code point j * chunk_chars on, and how far the overlap must reach."""
         start = j * chunk_chars
-        tries = [F.nullif(F.regexp_instr(F.substring(text, start + 1, F.lit(w)), F.lit(STABLE)), F.lit(0)) for w in widths]
-        tries.append(F.nullif(F.regexp_instr(F.substring(text, start + 1, n), F.lit(STABLE)), F.lit(0)))
+        # A length in code points: regexp_instr would count UTF-16 units.
+        tries = [F.nullif(F.char_length(F.regexp_extract(F.substring(text, start + 1, w), UP_TO_STABLE, 0)), F.lit(0)) for w in [*map(F.lit, widths), n]]
         at = F.coalesce(*tries)
         found = F.struct((start + at).alias("at"), F.least(n, start + at + F.lit(overlap_chars)).alias("seen"))
         return F.when(j == 0, F.struct(F.lit(0).alias("at"), F.lit(0).alias("seen"))).when(

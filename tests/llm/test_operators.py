@@ -144,6 +144,18 @@ def test_op4(spark, table, texts):
     assert {"source", "lang", "bucket", "key"} <= set(small.columns)
 
 
+def test_op4_boundaries_count_code_points(spark):
+    """Characters beyond the basic plane before a boundary: seams are at code points, not UTF-16 units."""
+    from tokenizers import Tokenizer
+
+    path, r = queries.tokenizer_path("byte_bpe_50k.json"), random.Random(4)
+    library = Tokenizer.from_file(path)
+    texts = ["".join(r.choice(["😀", "𝒳𝒴", "extraordinarily", " internationally", "\n", " 🎉🎉", "<|endoftext|>"]) for _ in range(400)) for _ in range(20)] + ["😀" * 300 + " end", "a😀 " * 300]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = rows(token_counts.token_counts(df, path, chunk_chars=61, overlap_chars=30))
+    assert [got[i]["n_tokens"] for i in range(len(texts))] == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
 def test_op5(spark, tmp_path):
     turns = [(1, 0, "user", "hi"), (1, 1, "assistant", "a\\b <|im_end|> </s>"), (1, 2, "assistant", None), (2, 0, "system", "<\\|im_start|>"), (2, 1, "assistant", "[INST]\\"),
              (3, 0, None, ""), (4, 5, "assistant", "é<|im_sep|>漢"), (4, 3, "us<|im_sep|>er", "x\n"), (None, 0, "user", "lost"), (5, 0, "assistant", "x"), (5, 0, "assistant", "x")]
@@ -307,3 +319,15 @@ def test_repeated_rows_and_null_keys(spark, tmp_path, name):
     spark.createDataFrame(same, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"file://{tmp_path}/documents.parquet")
     got = queries.QUERIES[name](spark, f"file://{tmp_path}").collect()
     assert sorted(str(r["doc_id"]) for r in got) == sorted(str(k) for k, *_ in same)
+
+
+def test_columns_named_like_helpers(spark):
+    """Columns of documents that have the names of the operators' own helper columns keep their values."""
+    docs = spark.createDataFrame([(i, f"some words of text number {i // 2} here and there", "en", "s", "a", "b", "c", "d") for i in range(40)],
+                                 "doc_id long, text string, lang string, source string, _text string, _key string, _copies string, _copy string")
+    helpers = ("_text", "_key", "_copies", "_copy")
+    named = language.predict(docs, language.learn(docs))
+    assert named.columns == [*docs.columns, "lang_pred", "score"]
+    for out, least in ((named, 40), (simhash.one_of_each_group(docs), 1), (mixing.mixed_documents(docs), 40)):
+        found = out.collect()
+        assert len(found) >= least and {tuple(r[c] for c in helpers) for r in found} == {("a", "b", "c", "d")}
