@@ -2,13 +2,25 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 QUALITY_CLASSES = ("HQ_HI", "HQ_LO", "LQ_HI", "LQ_LO")
 
 
+class Checked:
+    """Refuses negative numbers and flags that are not True or False."""
+
+    def __post_init__(self):
+        for f in fields(self):
+            value = getattr(self, f.name)
+            if f.type == "bool" and not isinstance(value, bool):
+                raise ValueError(f"{f.name} must be True or False, not {value!r}")
+            if f.type in ("int", "float") and not value >= 0:
+                raise ValueError(f"{f.name} must not be negative, but is {value!r}")
+
+
 @dataclass(frozen=True)
-class DemuxParams:
+class DemuxParams(Checked):
     constant1: str = "GTACGTACGAGTC"
     constant2: str = "GTACTCGCAGTAGTC"
     adapter: str = "TGTCTCTTATACACATCTCCGAGCCCACGAG"
@@ -18,7 +30,7 @@ class DemuxParams:
 
 
 @dataclass(frozen=True)
-class AssignParams:
+class AssignParams(Checked):
     primer_length: int = 18
     off_by_one: bool = True
     window: int = 3
@@ -26,7 +38,7 @@ class AssignParams:
 
 
 @dataclass(frozen=True)
-class CallParams:
+class CallParams(Checked):
     ploidy: int = 2
     noise: float = 0.01
     ignore_substitutions: bool = False
@@ -34,7 +46,7 @@ class CallParams:
 
 
 @dataclass(frozen=True)
-class QualityParams:
+class QualityParams(Checked):
     tiers: tuple[float, ...] = (0.975, 0.99, 0.999, 0.9999)
     weights: tuple[int, ...] = (1, 10, 50, 100)
     depth_cutoff: int = 10_000
@@ -44,7 +56,7 @@ class QualityParams:
 
 
 @dataclass(frozen=True)
-class ZygosityParams:
+class ZygosityParams(Checked):
     low_pct: float = 20.0
     high_pct: float = 80.0
     second_allele_pct: float = 20.0
