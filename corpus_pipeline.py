@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from editloom.llm import bpe, language, mixing, simhash
+from editloom.llm import bpe, copies, language, mixing
 from editloom.llm.common import read_table, written
 from editloom.llm.queries import tokenizer_path
 
@@ -21,8 +21,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of least doc_id of each group of near copies."""
-    return simhash.one_of_each_group(docs)
+    """Drops each document that has five-word similarity of 0.8 or more with one that stays and has a lesser doc_id."""
+    return copies.one_of_each_group(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
