@@ -10,14 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from editloom.llm import bpe, copies, language, mixing
-from editloom.llm.common import read_table, written
+from editloom.llm.common import free_names, read_table, written
 from editloom.llm.queries import tokenizer_path
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents in which no language is found: those without text or letters."""
-    classifier = language.learn(docs)
-    return language.predict(docs, classifier).where(F.col("lang_pred") != language.UNKNOWN).select(*docs.columns)
+    """Rejects documents without text or letters, and no others: also where no language could be learned."""
+    (lettered,) = free_names(docs, "_lettered")
+    return language.predict(docs, language.learn(docs), lettered=lettered).where(F.col(lettered)).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

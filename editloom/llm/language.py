@@ -80,6 +80,10 @@ class Classifier:
 
     def score(self, texts: list[str | None]) -> list[tuple[str, float]]:
         """(language, score of 0 to 1) of each text; `und` and 0.0 if it has no letter or no language was learned."""
+        return [found[:2] for found in self.judge(texts)]
+
+    def judge(self, texts: list[str | None]) -> list[tuple[str, float, bool]]:
+        """Language and score of each text, and whether it has a letter: that tells `no letters` from `no language was learned`."""
         import numpy as np
 
         features = len(self.weights)
@@ -94,11 +98,11 @@ class Classifier:
         x = present[:, :features].astype(np.float32)
         norm = np.sqrt(np.maximum(1.0, x.sum(axis=1)))[:, None]
         if not self.languages:
-            return [(UNKNOWN, 0.0)] * len(texts)
+            return [(UNKNOWN, 0.0, bool(ok)) for ok in lettered]
         margins = (x @ self.weights) / norm
         best = margins.argmax(axis=1)
         sure = np.clip((margins[np.arange(len(texts)), best] + 1) / 2, 0.0, 1.0)
-        return [(self.languages[b], float(s)) if ok else (UNKNOWN, 0.0) for b, s, ok in zip(best, sure, lettered, strict=True)]
+        return [(self.languages[b], float(s), True) if ok else (UNKNOWN, 0.0, False) for b, s, ok in zip(best, sure, lettered, strict=True)]
 
 
 def fit(examples: list, landmarks_per_language: int = LANDMARKS_PER_LANGUAGE, ridge: float = RIDGE) -> Classifier:
@@ -179,12 +183,16 @@ def learn(documents: DataFrame, key: str = "doc_id", text: str = "text", label:
     return fit([(r["label"], np.frombuffer(r["bins"], np.int32)) for r in ordered])
 
 
-def predict(documents: DataFrame, classifier: Classifier, text: str = "text") -> DataFrame:
-    """Adds lang_pred and score. A null text, or one without letters, is `und` with score 0."""
+def predict(documents: DataFrame, classifier: Classifier, text: str = "text", lettered: str | None = None) -> DataFrame:
+    """Adds lang_pred and score. A null text, or one without letters, is `und` with score 0, and so is any if nothing was learned.
+
+    `lettered` names a further column, true for texts with a letter.
+    """
     import pyarrow as pa
 
     model = documents.sparkSession.sparkContext.broadcast(classifier)  # one number for each n-gram of at most 60 landmarks a language
-    kept = [c for c in documents.columns if c not in ("lang_pred", "score")]
+    added = ["lang_pred", "score", *([lettered] if lettered else [])]
+    kept = [c for c in documents.columns if c not in added]
     (body,) = free_names(documents, "_text")
     rows = documents.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").alias(body))
 
@@ -192,11 +200,13 @@ def predict(documents: DataFrame, classifier: Classifier, text: str = "text") ->
         for batch in batches:
             for lo in range(0, batch.num_rows, 64):
                 part = batch.slice(lo, 64)
-                found = model.value.score(part.column(part.num_columns - 1).to_pylist())
+                found = model.value.judge(part.column(part.num_columns - 1).to_pylist())
                 columns = [part.column(i) for i in range(part.num_columns - 1)]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array([a for a, _ in found], pa.string()), pa.array([b for _, b in found], pa.float64())], names=[*kept, "lang_pred", "score"])
+                judged = [pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.string(), pa.float64(), pa.bool_()))]
+                yield pa.RecordBatch.from_arrays([*columns, *judged[: len(added)]], names=[*kept, *added])
 
-    schema = rows.select(*[F.col(f"`{c}`") for c in kept], F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
+    empty = [F.lit(x).alias(name) for x, name in zip(("", 0.0, True), added)]
+    schema = rows.select(*[F.col(f"`{c}`") for c in kept], *empty).schema
     return rows.mapInArrow(classify, schema)
 
 
