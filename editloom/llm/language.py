@@ -19,7 +19,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import free_names
+from .common import free_names, written
 
 MOST = 4
 BINS = 1 << 20
@@ -164,8 +164,10 @@ def learn(documents: DataFrame, key: str = "doc_id", text: str = "text", label:
     for keys in (["label", "salt"], ["label"]):
         first = Window.partitionBy(*keys).orderBy("h", "key")
         ids = ids.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language)
-    # At most per_language * MOST_LANGUAGES ids: a bounded table.
-    ids = ids.select(F.col("label").alias("l"), F.col("key").alias("k")).distinct().limit(per_language * MOST_LANGUAGES)
+    # A bounded table: more ids than that are of more than MOST_LANGUAGES labels, so nothing is learned from a cut one.
+    ids = written(ids.select(F.col("label").alias("l"), F.col("key").alias("k")).distinct().limit(per_language * MOST_LANGUAGES + 1), "language-sample")
+    if ids.select("l").distinct().count() > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
     chosen = rows.join(F.broadcast(ids), (F.col("key") == F.col("k")) & (F.col("label") == F.col("l"))).select("label", "h", "text")
 
     def grams(batches: Iterator) -> Iterator:
@@ -177,8 +179,6 @@ def learn(documents: DataFrame, key: str = "doc_id", text: str = "text", label:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], names=["label", "h", "bins"])
 
     sample = chosen.mapInArrow(grams, "label string, h long, bins binary").where(F.length("bins") > 0).collect()
-    if len({r["label"] for r in sample}) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
     ordered = sorted(sample, key=lambda r: (r["label"], r["h"], bytes(r["bins"])))
     return fit([(r["label"], np.frombuffer(r["bins"], np.int32)) for r in ordered])
 

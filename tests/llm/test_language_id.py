@@ -15,3 +15,9 @@ def test_lettered_documents_stay_when_nothing_is_learned(spark, label):
     kept = dict(corpus_pipeline.STAGES)["language_id"](spark, docs, "")
     want = sorted(r["doc_id"] for r in docs.where("doc_id < 100").collect())
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == want != []
+
+
+def test_more_labels_than_the_bound_are_refused_before_any_cut(spark):
+    rows = [(i, f"text {i}", f"l{i % 250}") for i in range(2000)]
+    with pytest.raises(ValueError, match="more than 200 languages"):
+        language.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), per_language=1)
