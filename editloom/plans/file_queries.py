@@ -73,7 +73,7 @@ def scan_amplicon_alignments(t):
 def scan_annotated_reads(t):
     path = path_of(t, "annotated")
     sinks.write_annotated_reads(t.table("annotated_reads"), path)
-    return fastq.annotated_reads(fastq.read_records(t.spark, sinks.files_of(t.spark, path)))
+    return fastq.annotated_reads(fastq.read_records(t.spark, sinks.files_of(t.spark, path), cut_files=False))
 
 
 @query("scan_allele_frequency_table", oracle("SELECT amplicon, aligned_sequence, read_status, n_deleted, n_inserted, n_mutated, reads FROM allele_frequencies", "allele_frequencies"))
@@ -190,7 +190,7 @@ def write_cell_summaries(t):
 def write_consensus_alleles(t):
     path = path_of(t, "consensus")
     sinks.write_consensus_alleles(alleles.allele_records(cq.consensus(t)), path)
-    read = fastq.read_records(t.spark, sinks.files_of(t.spark, path))
+    read = fastq.read_records(t.spark, sinks.files_of(t.spark, path), cut_files=False)
     return read.select("name", "seq", fastq.second_last_field(F.col("name")).alias("cell"))
 
 

@@ -8,6 +8,7 @@ be local or anything that pyarrow's file systems read.
 from __future__ import annotations
 
 import io
+import warnings
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -24,11 +25,15 @@ PAIR_SCHEMA = "lane int, ordinal long, name string, seq1 string, qual1 string, s
 RECORD_SCHEMA = "path string, ordinal long, name string, seq string, plus string, qual string"
 
 
-def _open(path: str):
+def _raw(path: str, compression: str | None):
     from pyarrow import fs
 
     files, inner = fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
-    stream = files.open_input_stream(inner, compression="gzip" if path.endswith(".gz") else None)
+    return files.open_input_stream(inner, compression=compression)
+
+
+def _open(path: str):
+    stream = _raw(path, "gzip" if path.endswith(".gz") else None)
     return io.TextIOWrapper(io.BufferedReader(stream), encoding="utf-8", newline="\n")
 
 
@@ -42,6 +47,24 @@ def records(path: str) -> Iterator[tuple[str, str, str, str]]:
             yield four[0].removeprefix("@"), four[1], four[2], four[3]
 
 
+def is_cut(path: str) -> bool:
+    """True if a gzip file's bytes were all read without error, but end within a stream."""
+    if not path.endswith(".gz"):
+        return False
+    with _raw(path, None) as f:
+        stream, inside = zlib.decompressobj(31), False
+        while data := f.read(1 << 20):
+            while data:
+                try:
+                    stream.decompress(data)
+                except zlib.error:
+                    return False
+                inside, data = not stream.eof, stream.unused_data
+                if stream.eof:
+                    stream = zlib.decompressobj(31)
+    return inside
+
+
 @dataclass
 class Lane(InputPartition):
     number: int
@@ -91,6 +114,7 @@ class OneFile(InputPartition):
 class RecordReader(DataSourceReader):
     def __init__(self, options: dict):
         self.paths = [p for p in options["paths"].split(",") if p]
+        self.cut_files = options.get("cut_files", "true") == "true"
 
     def partitions(self) -> list[OneFile]:
         return [OneFile(p) for p in self.paths] or [OneFile("")]
@@ -100,23 +124,19 @@ class RecordReader(DataSourceReader):
 
         if not partition.path:
             return
-        numbered = enumerate(records(partition.path))
-        while rows := self._some(numbered):
+        numbered = enumerate(self._whole(partition.path))
+        while rows := list(islice(numbered, BATCH)):
             yield pa.RecordBatch.from_arrays([pa.array([partition.path] * len(rows), pa.string()), pa.array([i for i, _ in rows], pa.int64()), *[pa.array([r[j] for _, r in rows], pa.string()) for j in range(4)]],
                                              names=["path", "ordinal", "name", "seq", "plus", "qual"])
 
-    @staticmethod
-    def _some(numbered) -> list:
-        """Up to BATCH records; a truncated or broken file ends with its last whole record."""
-        rows: list = []
+    def _whole(self, path: str) -> Iterator:
+        """Whole records; with cut_files, a compressed stream that is proven to be cut ends with its last one. Other errors fail the task."""
         try:
-            for row in numbered:
-                rows.append(row)
-                if len(rows) == BATCH:
-                    break
-        except (EOFError, OSError, zlib.error):
-            pass
-        return rows
+            yield from records(path)
+        except (EOFError, OSError, zlib.error) as error:
+            if not (self.cut_files and is_cut(path)):
+                raise
+            warnings.warn(f"{path} is cut: {error}", stacklevel=2)
 
 
 class RecordSource(DataSource):
@@ -137,9 +157,10 @@ def read_pairs(spark: SparkSession, r1: list[str], r2: list[str]) -> DataFrame:
     return spark.read.format("fastq_pairs").options(r1=",".join(r1), r2=",".join(r2)).load()
 
 
-def read_records(spark: SparkSession, paths: list[str]) -> DataFrame:
+def read_records(spark: SparkSession, paths: list[str], cut_files: bool = True) -> DataFrame:
+    """cut_files: gzip files that end within a stream are read up to there, as filtered alleles are; otherwise they fail."""
     spark.dataSource.register(RecordSource)
-    return spark.read.format("fastq_records").options(paths=",".join(paths)).load()
+    return spark.read.format("fastq_records").options(paths=",".join(paths), cut_files=str(cut_files).lower()).load()
 
 
 def annotated_reads(files: DataFrame) -> DataFrame:
