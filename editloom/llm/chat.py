@@ -21,6 +21,8 @@ START, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 CONTROL_STRINGS = (START, SEP, END, "<|system|>", "<|user|>", "<|assistant|>", "<|endoftext|>", "<|startoftext|>", "<|eot_id|>",
                    "<|start_header_id|>", "<|end_header_id|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
 TURNS = "array<struct<role:string,text:string>>"
+#: Turns with a role or text of more characters go beside their JSON records: the JSON parser refuses strings of over 20,000,000.
+CARRIED_CHARS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -99,21 +101,28 @@ def canonical_turns(records: DataFrame, record: str = "record", layouts: tuple[L
 
 
 def format_chats(records: DataFrame, conversation: str, seq: str, record: str = "record", layouts: tuple[Layout, ...] = LAYOUTS,
-                 trained_role: str = "assistant") -> DataFrame:
+                 trained_role: str = "assistant", carried: str | None = None) -> DataFrame:
     """One row per conversation: formatted text, n_turns and loss_spans.
 
+    `carried` names a column with the whole turn (role, text) of records that hold only its beginning, and null for others.
+
     Records of a conversation follow each other by `seq`, ties by the record's text. loss_spans are (start, length) in
     bytes of the UTF-8 of `formatted` and cover the escaped text of each turn of `trained_role`, in order. A
     conversation whose records have no turns gives an empty text. Null conversation ids are one conversation.
     """
     turns = canonical_turns(records, record, layouts)
-    rows = turns.select(F.col(conversation).alias("conversation"), F.col(seq).alias("seq"), F.col(record).alias("record"),
+    whole = F.lit(None).cast("struct<role:string,text:string>")
+    if carried:
+        whole = F.col(carried)
+        filled = F.struct(F.coalesce(whole["role"], F.lit("")).alias("role"), F.coalesce(whole["text"], F.lit("")).alias("text"))
+        turns = turns.withColumn("turns", F.when(whole.isNotNull(), F.array(filled)).otherwise(F.col("turns")))
+    rows = turns.select(F.col(conversation).alias("conversation"), F.col(seq).alias("seq"), F.col(record).alias("record"), whole.alias("whole"),
                         F.posexplode_outer("turns").alias("at", "turn"))
     head = F.concat(F.lit(START), escape(F.col("turn.role")), F.lit(SEP))
     body = escape(F.col("turn.text"))
-    rows = rows.select("conversation", "seq", "record", "at", F.col("turn.role").alias("role"), head.alias("head"), body.alias("body"))
+    rows = rows.select("conversation", "seq", "record", "whole", "at", F.col("turn.role").alias("role"), head.alias("head"), body.alias("body"))
     rows = rows.withColumn("piece", F.concat("head", "body", F.lit(END)))
-    order = Window.partitionBy("conversation").orderBy("seq", "record", "at")
+    order = Window.partitionBy("conversation").orderBy("seq", "record", "whole", "at")
     rows = rows.withColumn("n", F.row_number().over(order)).withColumn(
         "before", F.coalesce(F.sum(F.octet_length("piece")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     span = F.when(F.col("role") == trained_role, F.struct(
@@ -138,9 +147,14 @@ def read_chats(formatted: DataFrame, text: str = "formatted") -> DataFrame:
 
 
 def conversation_records(conversations: DataFrame) -> DataFrame:
-    """Turn rows (conv_id, turn, role, text) as JSON records of the layout `turn row`."""
-    as_json = F.to_json(F.struct("role", "text"), {"ignoreNullFields": "false"})
-    return conversations.select("conv_id", F.col("turn").cast("long").alias("turn"), as_json.alias("record"))
+    """Turn rows (conv_id, turn, role, text) as JSON records of the layout `turn row`.
+
+    A turn of over CARRIED_CHARS characters is whole in the column `whole`; its record has the beginning.
+    """
+    long = F.greatest(F.char_length("role"), F.char_length("text")) > CARRIED_CHARS
+    begun = F.struct(*[F.when(long, F.substring(c, 1, CARRIED_CHARS)).otherwise(F.col(c)).alias(c) for c in ("role", "text")])
+    return conversations.select("conv_id", F.col("turn").cast("long").alias("turn"), F.to_json(begun, {"ignoreNullFields": "false"}).alias("record"),
+                                F.when(long, F.struct("role", "text")).alias("whole"))
 
 
 def digest(read: DataFrame) -> DataFrame:

@@ -39,7 +39,7 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(chat.sample_conversation(spark))
-    return chat.digest(chat.read_chats(chat.format_chats(chat.conversation_records(turns), "conv_id", "turn")))
+    return chat.digest(chat.read_chats(chat.format_chats(chat.conversation_records(turns), "conv_id", "turn", carried="whole")))
 
 
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
