@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -16,10 +17,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder below the one that driver and executors share (spark.checkpoint.dir)."""
+    """A new folder below the one that driver and executors share (spark.checkpoint.dir).
+
+    Without that setting a temporary folder serves, but only with a local master, where all tasks see it.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = f"file://{tempfile.gettempdir()}/editloom-checkpoints"
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = f"file://{tempfile.mkdtemp(prefix='editloom-')}"
         spark.conf.set("spark.checkpoint.dir", base)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(base)
@@ -80,6 +86,28 @@ def range_bucket(key: Column, bounds: list[int]) -> Column:
     return count_at_most(bounds[1:], key)
 
 
+def hashed_text(text: str) -> Column:
+    """Orders rows of the same key: 0 to 2**62 - 1."""
+    return F.shiftrightunsigned(F.xxhash64(text), 2)
+
+
+def range_cuts(df: DataFrame, key: Column, buckets: int) -> list[int]:
+    """Keys that cut rows into about `buckets` ranges of near equal row counts; null keys come last. A key of many rows is a cut several times."""
+    shares = [i / buckets for i in range(1, buckets)]
+    return sorted(df.select(order_key(key).alias("k")).agg(F.percentile_approx("k", shares, max(10_000, 20 * buckets))).first()[0] or []) if shares else []
+
+
+def range_number(key: Column, tie: Column, cuts: list[int]) -> Column:
+    """Number of the range, 0 to len(cuts), that rows are in by (key, tie); ranges are in ascending order.
+
+    Rows of a key that is a cut m times are spread over m + 1 ranges by their tie (0 to 2**62 - 1).
+    """
+    place = order_key(key)
+    upto, below = count_at_most(cuts, place), count_at_most(cuts, F.when(place > -LAST_KEY, place - 1).otherwise(place))
+    part = F.shiftright(tie, 31) * (upto - below + F.lit(1))
+    return (below + F.shiftright(part, 31)).cast("int")
+
+
 def with_running_total(df: DataFrame, within: list[str], bucket: str, order: list, amount: str, start: str) -> DataFrame:
     """Adds `start`: the sum of `amount` over all earlier rows of the same `within` keys, ordered by bucket, then `order`.
 

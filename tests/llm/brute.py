@@ -60,24 +60,29 @@ def _xx(values, seed=42):
     return seed - 2**64 if seed >= 2**63 else seed
 
 
-def order_minhash(text, k=5, samples=64, tuple_length=2):
-    tokens = re.findall(r"[^ \t\n\x0b\f\r]{1,8}", text or "")
+TOKEN = re.compile("[^ \t\n\x0b\f\r]{1,24}+(?![^ \t\n\x0b\f\r])|[^ \t\n\x0b\f\r]")
+
+
+def order_minhash(text, k=5, samples=64, tuple_length=2, rings=2):
+    tokens = [_xx([t]) for t in TOKEN.findall(text or "")]
     found = [(_xx([tokens[i + j] if i + j < len(tokens) else None for j in range(k)]) >> 28, i) for i in range(max(1, len(tokens) - k + 1))]
     seen: dict[int, int] = {}
-    ring = []
+    numbered = []
     for h, i in found:
         o = seen.get(h, 0)
         seen[h] = o + 1
-        ring.append((_mix(h, o) if o else h, i))
-    ring.sort()
+        numbered.append((_mix(h, o) if o else h, i))
     out = []
-    for p in range(samples):
-        start = next((i for i, (h, _) in enumerate(ring) if (h >> 30) + samples // 2 >= p), 0)
-        chosen = sorted((ring[(start + o) % len(ring)][1] % 2**28, ring[(start + o) % len(ring)][0] % 2**36) for o in range(min(tuple_length, len(ring))))
-        seed = 42
-        for _, h in chosen:
-            seed = xxh64_intdigest(h.to_bytes(8, "little"), seed)
-        out.append(seed & 0xFFFF)
+    for r in range(rings):
+        ring = sorted((_mix(h, r) if r else h, i) for h, i in numbered)
+        points = samples // rings
+        for p in range(points):
+            start = next((i for i, (h, _) in enumerate(ring) if (h + 2**35) * points >= p * 2**36), 0)
+            chosen = sorted((ring[(start + o) % len(ring)][1] % 2**28, ring[(start + o) % len(ring)][0] % 2**36) for o in range(min(tuple_length, len(ring))))
+            seed = 42
+            for _, h in chosen:
+                seed = xxh64_intdigest(h.to_bytes(8, "little"), seed)
+            out.append(seed & 0xFFFF)
     return out
 
 
