@@ -1,106 +1,98 @@
 """Token counts by overlap resynchronisation.
 
-A text of more than `chunk_chars` code points is cut into chunks that overlap. A place p where white space follows a
-character that is none is a stable boundary: the encoder's pattern has no match over such a place, whatever stands
-further left or right, so every encoding that sees both characters has a token boundary there. Neighbouring chunks
-meet at the first stable boundary of their overlap; where the overlap has none, it is widened (each time sixteenfold)
-up to the whole rest of the text. Each chunk is encoded on its own; byte offsets of its tokens show the boundary on
-both sides, and it counts the tokens between its own two boundaries. The parts of a text add up to the whole count.
+A text of more than `chunk_chars` code points is encoded in chunks that overlap. Byte offsets show which tokens two
+neighbouring chunks both have on the same bytes of their overlap; after the first of them the left chunk's tokens stop
+and the right one's go on. Such a common token proves that the splice is what the whole text gives:
+
+* Tokens that only some part of a text shows are right if each token and its next one are what that pair alone gives.
+  Both chunks' tokens are, and the pairs around the common token lie in one chunk or the other.
+* The pattern splits both chunks alike after it. It looks at no earlier text; a token of a space and what follows it
+  starts a match; any other token lies within a run of letters, of numbers, of white space or of other characters, and
+  the run's match ends where the run ends, in both. Tokens with an apostrophe are not taken: it may start a contraction.
+* It is no part of an added token that one chunk cuts, as it keeps the longest added token's length from both ends.
+
+Where the overlap has no common token (a run of one character whose tokens are out of step), it is widened fourfold, to
+the end of the text if need be. Work stays in proportion to the text, and memory is bounded where chunks come into step.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .byte_bpe import byte_bpe
+from .byte_bpe import ByteBpe, byte_bpe
+from .common import free_names
 
 CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 1_024
-#: All up to the first character that is no white space (as Unicode has it) and is followed by a space or line end.
-UP_TO_STABLE = r"(?sU)^.*?\S(?=[ \n])"
-
-
-def chunk_array(text: Column, chunk_chars: int = CHUNK_CHARS, overlap_chars: int = OVERLAP_CHARS) -> Column:
-    """Array of (text, lo, hi): each overlapping chunk with the code points, counted from its start, between which it counts."""
-    n = F.char_length(text)
-    widths = [overlap_chars * 16**i for i in range(5)]
-
-    def boundary(j: Column) -> Column:
-        """(at, seen): the first stable boundary from code point j * chunk_chars on, and how far the overlap must reach."""
-        start = j * chunk_chars
-        # A length in code points: regexp_instr would count UTF-16 units.
-        tries = [F.nullif(F.char_length(F.regexp_extract(F.substring(text, start + 1, w), UP_TO_STABLE, 0)), F.lit(0)) for w in [*map(F.lit, widths), n]]
-        at = F.coalesce(*tries)
-        found = F.struct((start + at).alias("at"), F.least(n, start + at + F.lit(overlap_chars)).alias("seen"))
-        return F.when(j == 0, F.struct(F.lit(0).alias("at"), F.lit(0).alias("seen"))).when(
-            (start >= n) | at.isNull(), F.struct(n.alias("at"), n.alias("seen"))).otherwise(found)
-
-    count = F.ceil(n / chunk_chars).cast("int")
-    cuts = F.transform(F.sequence(F.lit(0), count), boundary)
-
-    def chunks(cuts: Column) -> Column:
-        def chunk(cut: Column, j: Column) -> Column:
-            start, after = j * chunk_chars, F.get(cuts, j + 1)
-            empty = (j >= count) | (cut["at"] >= after["at"])
-            return F.when(~empty, F.struct(
-                F.substring(text, start + 1, after["seen"] - start).alias("text"),
-                (cut["at"] - start).cast("long").alias("lo"), (after["at"] - start).cast("long").alias("hi")))
-        return F.filter(F.transform(cuts, chunk), lambda c: c.isNotNull())
-
-    whole = F.array(F.struct(text.alias("text"), F.lit(0).cast("long").alias("lo"), n.cast("long").alias("hi")))
-    # A one-element array binds the cuts, so that they are found once per text.
-    return F.when(n <= chunk_chars, whole).otherwise(F.flatten(F.transform(F.array(cuts), chunks)))
-
-
-def count_between(encoder, text: str, lo: int, hi: int) -> int:
-    """Tokens between two code points of a chunk; both must be token boundaries."""
-    ids = encoder.encode(text)
-    if lo == 0 and hi == len(text):
-        return len(ids)
-    ends = encoder.byte_lengths[ids].cumsum()
-    found = []
-    for at in (lo, hi):
-        byte = len(text[:at].encode())
-        i = int(ends.searchsorted(byte, side="left")) + 1 if byte else 0
-        if byte and (i > len(ends) or ends[i - 1] != byte):
-            raise ValueError(f"chunks do not align at code point {at}")
-        found.append(i)
-    return found[1] - found[0]
+
+
+def common_token(encoder: ByteBpe, left, right, shared: int) -> tuple[int, int] | None:
+    """Places (in left, in right) of the first token that both have on the same bytes of the last and first `shared` bytes."""
+    import numpy as np
+
+    lengths, margin = encoder.byte_lengths, encoder.longest_added
+    ends = lengths[left].cumsum()
+    ends -= ends[-1] - shared
+    first = int((ends - lengths[left]).searchsorted(margin))
+    last = int(ends.searchsorted(shared - margin, side="right"))
+    if first >= last:
+        return None
+    own = (ends - lengths[left])[first:last]
+    others = lengths[right].cumsum() - lengths[right]
+    others = others[: others.searchsorted(shared)]
+    _, i, k = np.intersect1d(own, others, assume_unique=True, return_indices=True)
+    ids = left[first:last][i]
+    good = np.flatnonzero((ids == right[k]) & ~encoder.apostrophe[ids])
+    return (first + int(i[good[0]]), int(k[good[0]])) if len(good) else None
+
+
+def encode_in_chunks(encoder: ByteBpe, text: str, chunk_chars: int = CHUNK_CHARS, overlap_chars: int = OVERLAP_CHARS) -> Iterator:
+    """Arrays of ids that together are those of the whole text."""
+    n = len(text)
+    upto, skip = min(n, chunk_chars), 0
+    left, start = encoder.encode(text[:upto]), 0
+    while upto < n:
+        overlap = min(overlap_chars, upto - start)
+        right_start = upto - overlap
+        while True:
+            right_end = min(n, right_start + max(chunk_chars, 2 * overlap))
+            right = encoder.encode(text[right_start:right_end])
+            found = common_token(encoder, left, right, len(text[right_start:upto].encode("utf-8", "surrogatepass")))
+            if found and found[0] >= skip:
+                yield left[skip : found[0] + 1]
+                left, start, skip, upto = right, right_start, found[1] + 1, right_end
+                break
+            overlap *= 4
+            upto = min(n, right_start + overlap)
+            left = encoder.encode(text[start:upto])
+            if upto == n:
+                break
+    yield left[skip:]
 
 
 def token_counts(documents: DataFrame, tokenizer_file: str, text: str = "text", chunk_chars: int = CHUNK_CHARS,
                  overlap_chars: int = OVERLAP_CHARS, limit: int = 1024) -> DataFrame:
     """Adds n_bytes, n_tokens and over_limit (n_tokens > limit) to the columns of documents other than the text.
 
-    A null text counts as empty: no bytes, no tokens. Every row keeps its own result, repeated rows too; columns named
-    like the added ones are replaced.
+    A null text counts as empty: no bytes, no tokens. Every row keeps its own result, repeated rows too; an empty table
+    gives no rows; columns named like the added ones are replaced. A row's chunks are encoded one after the other by one
+    task, without a shuffle.
     """
     added = ("n_bytes", "n_tokens", "over_limit")
-    kept = [c for c in documents.columns if c != text and c not in added]
-    rows = documents.select(F.monotonically_increasing_id().alias("_row"), F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_kept") if kept else F.lit(None).alias("_kept"),
-                            F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    rows = rows.select("_row", "_kept", F.octet_length("_text").cast("long").alias("_n_bytes"),
-                       F.explode(chunk_array(F.col("_text"), chunk_chars, overlap_chars)).alias("_chunk"))
-    rows = rows.select("_row", "_kept", "_n_bytes", "_chunk.*")
+    kept = [c for c in documents.columns if c != text and c.lower() not in added]
+    (body,) = free_names(documents, "_text")
+    rows = documents.select(*[F.col(f"`{c}`") for c in kept], F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"), F.coalesce(F.col(text), F.lit("")).alias(body))
 
     def count(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         encoder = byte_bpe(tokenizer_file)
         for batch in batches:
-            columns = [batch.column(i) for i in range(3)]
-            for small in range(0, batch.num_rows, 64):  # few texts at a time as Python strings
-                part = batch.slice(small, 64)
-                texts, lows, highs = (part.column(i).to_pylist() for i in (3, 4, 5))
-                counts = [count_between(encoder, t, lo, hi) for t, lo, hi in zip(texts, lows, highs, strict=True)]
-                yield pa.RecordBatch.from_arrays([*[c.slice(small, 64) for c in columns], pa.array(counts, pa.int64())],
-                                                 names=["_row", "_kept", "_n_bytes", "_n_tokens"])
-
-    kept_type = rows.schema["_kept"].dataType.simpleString()
-    schema = rows.select("_row", "_kept", "_n_bytes", F.lit(0).cast("long").alias("_n_tokens")).schema if kept_type != "void" else "_row long, _kept void, _n_bytes long, _n_tokens long"
-    parts = rows.mapInArrow(count, schema)
-    whole = parts.groupBy("_row").agg(F.first("_kept").alias("_kept"), F.first("_n_bytes").alias("n_bytes"), F.sum("_n_tokens").alias("n_tokens"))
-    return whole.select(*[F.col(f"_kept.`{c}`").alias(c) for c in kept], "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+            counts = [sum(map(len, encode_in_chunks(encoder, t.as_py(), chunk_chars, overlap_chars))) for t in batch.column(batch.num_columns - 1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(counts, pa.int64())], names=[*kept, "n_bytes", "n_tokens"])
+
+    counted = rows.mapInArrow(count, rows.select(*[F.col(f"`{c}`") for c in kept], "n_bytes", F.lit(0).cast("long").alias("n_tokens")).schema)
+    return counted.withColumn("over_limit", F.col("n_tokens") > limit)

@@ -17,13 +17,15 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .byte_bpe import byte_bpe
-from .common import bucket_count, order_key, range_bounds, range_bucket, shared_folder, written
+from .common import hashed_text, range_cuts, range_number, shared_folder, written
+from .token_counts import encode_in_chunks
 
 BLOCK = 1024
 PERCENTILE = 0.95
@@ -32,6 +34,8 @@ _HEAD = struct.Struct("<IHHB")
 _TRAILER = struct.Struct("<QQQ8s")
 #: Blocks that are packed or unpacked at once.
 GROUP = 256
+#: Text of one file, about.
+FILE_BYTES = 256 << 20
 
 
 def _bits(values, width: int):
@@ -115,23 +119,23 @@ class FileWriter:
         self.path, self.own = f"{root}/{name}", f"{root}/.{name}.{uuid.uuid4().hex}"
         self.fs.create_dir(root, recursive=True)
         self.out = self.fs.open_output_stream(self.own)
-        self.keys: list[int] = []
-        self.nulls = bytearray()
-        self.counts: list[int] = []
-        self.starts: list[int] = [0]
+        self.keys, self.nulls, self.counts, self.starts = array("q"), bytearray(), array("Q"), array("Q", [0])
         self.rest: list = []
         self.waiting = 0
         self.ids = 0
 
-    def add(self, key: int | None, ids) -> None:
+    def add(self, key: int | None, ids: Iterator) -> None:
+        """A document's ids come in parts, so that a huge one is never held whole."""
+        before = self.ids
+        for part in ids:
+            self.rest.append(part)
+            self.waiting += len(part)
+            self.ids += len(part)
+            if self.waiting >= GROUP * BLOCK:
+                self._write(self.waiting // BLOCK * BLOCK)
         self.keys.append(key or 0)
         self.nulls.append(key is None)
-        self.counts.append(len(ids))
-        self.rest.append(ids)
-        self.waiting += len(ids)
-        self.ids += len(ids)
-        if self.waiting >= GROUP * BLOCK:
-            self._write(self.waiting // BLOCK * BLOCK)
+        self.counts.append(self.ids - before)
 
     def _write(self, n: int) -> None:
         import numpy as np
@@ -190,18 +194,25 @@ def read_file(folder: str, name: str) -> Iterator[tuple[int | None, int, int, in
             start += want
 
 
-def write_token_files(documents: DataFrame, tokenizer_file: str, end_id: int | None, key: str = "doc_id", text: str = "text") -> tuple[str, DataFrame]:
+def write_token_files(documents: DataFrame, tokenizer_file: str, end_id: int | None, key: str = "doc_id", text: str = "text",
+                      file_bytes: int = FILE_BYTES) -> tuple[str, DataFrame]:
     """Writes the ids of all texts, each followed by end_id, and returns the folder and a manifest (bucket, name, docs, ids).
 
-    One file per key range, in ascending key order inside; null keys come last, equal keys by text. A null text is
-    empty. An empty table gives no file.
+    One task and file per key range, in ascending key order inside, with about `file_bytes` of text or less; null keys
+    come last, equal keys by a hash of the text, so that a key of many rows is spread over several files. A null text is
+    empty. Repeated rows are written as often as they come. An empty table gives no file.
     """
+    import math
+
     spark = documents.sparkSession
     folder = shared_folder(spark, "token-files")
     docs = documents.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    place = order_key(F.col("key"))
-    bounds = range_bounds(docs, place, bucket_count(spark, 2))
-    rows = docs.withColumn("bucket", range_bucket(place, bounds)).repartition("bucket").sortWithinPartitions("bucket", place, "text")
+    total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    files = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / file_bytes))
+    cuts = range_cuts(docs, F.col("key"), files)
+    rows = docs.withColumn("tie", hashed_text("text"))
+    rows = rows.withColumn("bucket", range_number(F.col("key"), F.col("tie"), cuts)).repartitionById(len(cuts) + 1, "bucket")
+    rows = rows.sortWithinPartitions("bucket", F.col("key").asc_nulls_last(), "tie", "text").select("key", "text", "bucket")
 
     def write(batches: Iterator) -> Iterator:
         import numpy as np
@@ -211,15 +222,19 @@ def write_token_files(documents: DataFrame, tokenizer_file: str, end_id: int | N
         ending = np.array([] if end_id is None else [end_id], np.uint32)
         done: list[dict] = []
         writer, bucket = None, None
+
+        def ids(text: str) -> Iterator:
+            yield from encode_in_chunks(encoder, text)
+            yield ending
+
         for batch in batches:
-            for lo in range(0, batch.num_rows, 64):
-                part = batch.slice(lo, 64).to_pydict()
-                for k, t, b in zip(part["key"], part["text"], part["bucket"], strict=True):
-                    if b != bucket:
-                        if writer:
-                            done.append({"bucket": bucket, "name": f"ids-{bucket:06d}.pfor"} | writer.close())
-                        writer, bucket = FileWriter(folder, f"ids-{b:06d}.pfor"), b
-                    writer.add(k, np.concatenate([encoder.encode(t), ending]))
+            for k, t, b in zip(*batch.columns, strict=True):
+                b = b.as_py()
+                if b != bucket:
+                    if writer:
+                        done.append({"bucket": bucket, "name": f"ids-{bucket:06d}.pfor"} | writer.close())
+                    writer, bucket = FileWriter(folder, f"ids-{b:06d}.pfor"), b
+                writer.add(k.as_py(), ids(t.as_py()))
         if writer:
             done.append({"bucket": bucket, "name": f"ids-{bucket:06d}.pfor"} | writer.close())
         yield pa.RecordBatch.from_pylist(done, schema=pa.schema([("bucket", pa.int32()), ("name", pa.string()), ("docs", pa.int64()), ("ids", pa.int64())]))
@@ -231,7 +246,8 @@ def read_token_files(folder: str, manifest: DataFrame, key: str = "doc_id") -> D
     """(key, start, n_tokens, ids_crc32) of each document, read from the files; start counts the ids of all files before."""
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)  # one row for each file
     files = manifest.withColumn("before", F.coalesce(F.sum("ids").over(before), F.lit(0)))
-    files = files.repartition(bucket_count(manifest.sparkSession, 1), "name")
+    last = manifest.agg(F.max("bucket")).first()[0]
+    files = files.repartitionById(1 + (last or 0), "bucket")  # one file for each task
 
     def read(batches: Iterator) -> Iterator:
         import pyarrow as pa
