@@ -15,9 +15,14 @@ from editloom.llm.queries import tokenizer_path
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without text or letters, and no others: also where no language could be learned."""
-    (lettered,) = free_names(docs, "_lettered")
-    return language.predict(docs, language.learn(docs), lettered=lettered).where(F.col(lettered)).select(*docs.columns)
+    """Rejects documents without text or letters, and no others: also where no language could be learned.
+
+    Documents without a language get the predicted one. Repeated rows, null ids and further columns stay as they are; an
+    empty table gives no rows.
+    """
+    predicted, score, lettered = free_names(docs, "_predicted", "_score", "_lettered")
+    found = language.predict(docs, language.learn(docs), lettered=lettered, names=(predicted, score)).where(F.col(lettered))
+    return found.withColumn("lang", F.coalesce("lang", F.nullif(predicted, F.lit(language.UNKNOWN)))).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
