@@ -5,15 +5,16 @@ vector has an odd number of ones in common with v. The vectors of at most `radiu
 radius + 1 dimensions, so some v is orthogonal to them all, its mask drops them all, and the pair has equal masked
 fingerprints in that table: no pair within the radius is missed. With radius 3 there are 15 tables of about 34 bits.
 
-Only distinct fingerprints are compared. A bucket of many fingerprints is cut into blocks; each pair of blocks is
-compared by itself, wherever Spark puts it, and gives the edges of a spanning forest instead of all its pairs.
+Only distinct fingerprints are compared. A bucket of many fingerprints is cut into blocks by a hash, from a count of its
+members; each pair of blocks is compared by itself, wherever Spark puts it, and gives the edges of a spanning forest
+instead of all its pairs. No task sees a whole bucket.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import free_names, written
@@ -59,9 +60,7 @@ def with_fingerprints(documents: DataFrame, key: str = "doc_id", text: str = "te
 
     def fingerprints(batches: Iterator) -> Iterator:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([signed(fingerprint(t.as_py(), words)) for t in part.column(1)], pa.int64())], schema=schema)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([signed(fingerprint(t.as_py(), words)) for t in batch.column(1)], pa.int64())], schema=schema)
 
     rows = documents.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     return rows.mapInArrow(fingerprints, "key long, fp long")
@@ -91,11 +90,13 @@ def fingerprint_links(distinct: DataFrame, radius: int = RADIUS, block: int = BL
 
     masks = F.array(*[F.lit(signed(m)) for m in covering_masks(radius)])
     rows = distinct.select("fp", F.posexplode(masks).alias("table", "mask")).select("fp", "table", F.col("fp").bitwiseAND(F.col("mask")).alias("bucket"))
-    same = Window.partitionBy("table", "bucket")
-    rows = rows.withColumn("size", F.count("*").over(same)).where("size > 1").withColumn("place", F.row_number().over(same.orderBy("fp")))
-    rows = rows.withColumn("own", F.floor((F.col("place") - 1) / block).cast("int")).withColumn("last", F.floor((F.col("size") - 1) / block).cast("int"))
+    # Buckets of more than a block are few: at most one for each `block` rows.
+    large = written(rows.groupBy("table", "bucket").agg(F.count("*").alias("size")).where(F.col("size") > block)
+                    .select("table", "bucket", F.ceil(F.col("size") / block).cast("int").alias("blocks")), "simhash-buckets")
+    rows = rows.join(large, ["table", "bucket"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("fp"), "blocks").cast("int"))
     # Each block meets itself and every other one; with a single block that is one row.
-    rows = rows.select("table", "bucket", "fp", "own", F.explode(F.sequence(F.lit(0), "last")).alias("other"))
+    rows = rows.select("table", "bucket", "fp", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     rows = rows.select("table", "bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "fp")
     keys = ["table", "bucket", "low", "high"]
     rows = rows.repartition(*keys).sortWithinPartitions(*keys).select(F.xxhash64(*keys).alias("run"), "fp")

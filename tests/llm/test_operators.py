@@ -259,6 +259,17 @@ def test_op7_large_groups(spark, block):
     assert len(set(zip(got, want))) == len(set(got)) == len(set(want))
 
 
+def test_op7_two_hundred_thousand_in_one_bucket(spark):
+    """Fingerprints that agree on all bits but 18 lie together in several buckets; random ones elsewhere stay alone."""
+    r = random.Random(8)
+    at = r.sample(range(64), 18)
+    near = {sum(1 << at[j] for j in range(18) if i >> j & 1) for i in range(200_000)}
+    far = {r.getrandbits(64) for _ in range(100)}
+    df = spark.createDataFrame([(simhash.signed(f),) for f in sorted(near | far)], "fp long")
+    root = {x["node"]: x["root"] for x in components.connected_components(simhash.fingerprint_links(df)).collect()}
+    assert len({root.get(simhash.signed(f), simhash.signed(f)) for f in near}) == 1 and not far & set(root)
+
+
 def test_masks_cover():
     masks = simhash.covering_masks()
     assert len(masks) == 15
