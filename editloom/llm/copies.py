@@ -1,8 +1,10 @@
 """Near copies by exact similarity: the share of five-word shingles that two texts have in common (Jaccard).
 
-Candidates come from MinHash: a text has `BANDS` buckets, each the hash of `ROWS` least values of its shingles under
-random linear orders; two texts of similarity s share a bucket with a chance of 1 - (1 - s ** ROWS) ** BANDS, which is
-0.99994 at 0.8 and grows with s. SimHash cannot serve here: at 0.8 about 10 of 64 bits differ, give or take 3.
+Candidates come from SimHash: texts whose fingerprints of five-word shingles differ in at most 3 bits share a bucket of
+the covering tables (simhash.py) for certain. At a similarity of 0.8, though, about 10 of 64 bits differ, give or take 3,
+and tables that cover 16 bits would be 131,071. So each text also has `BANDS` MinHash buckets, each the hash of `ROWS`
+least values of its shingles under random linear orders; two texts of similarity s share one with a chance of
+1 - (1 - s ** ROWS) ** BANDS, which is 0.99994 at 0.8 and grows with s.
 
 A text is dropped only if its exact similarity with a text that stays is at least the threshold, so there are no chains.
 Texts are taken by least key. While buckets are large, each is compared with its first text only, if that one comes
@@ -17,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import free_names, written
-from .simhash import signed
+from .simhash import RADIUS, covering_masks, fingerprint_of, shingle_hashes, signed, text_words
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -27,19 +29,17 @@ ROUNDS = 4
 _PART = 4096
 
 
-def text_words(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()  # of bytes: A-Z only, and white space of ASCII only
+def shingle_set(hashes) -> object:
+    """Ascending distinct hashes of a text's shingles; a text without words has one of its own."""
+    import numpy as np
+
+    return np.unique(hashes) if len(hashes) else np.zeros(1, np.uint64)
 
 
-def shingle_set(found: list[bytes], words: int = WORDS):
-    """Ascending distinct XXH64 hashes of the word shingles; a text of fewer words is one shingle."""
+def hashes_of(found: list[bytes], words: int):
     import numpy as np
-    from xxhash import xxh64_intdigest
 
-    if len(found) < words:
-        return np.array([xxh64_intdigest(b" ".join(found), 42)], np.uint64)
-    shingles = set(map(b" ".join, zip(*[found[i:] for i in range(words)])))
-    return np.unique(np.fromiter((xxh64_intdigest(s, 42) for s in shingles), np.uint64, len(shingles)))
+    return np.concatenate([np.zeros(0, "<u8"), *shingle_hashes(found, words)])
 
 
 def text_node(found: list[bytes]) -> int:
@@ -49,22 +49,30 @@ def text_node(found: list[bytes]) -> int:
     return signed(xxh3_64_intdigest(b" ".join(found)))
 
 
+def _mixed(x):
+    import numpy as np
+
+    x = x * np.uint64(0x9E3779B97F4A7C15)
+    return x ^ (x >> np.uint64(29))
+
+
 def buckets(hashes, rows: int = ROWS, bands: int = BANDS):
-    """One signed long for each band."""
+    """One signed long for each MinHash band of a text's shingle hashes and each covering table of their SimHash."""
     import numpy as np
 
     random = np.random.default_rng(20)
     factors, shifts = random.integers(0, 2**64, (2, rows * bands), np.uint64)
     factors |= np.uint64(1)
     least = np.full(rows * bands, 2**64 - 1, np.uint64)
-    for lo in range(0, len(hashes), _PART):
-        x = hashes[lo : lo + _PART, None] * factors[None, :] + shifts[None, :]
+    for lo in range(0, len(shingles := shingle_set(hashes)), _PART):
+        x = shingles[lo : lo + _PART, None] * factors[None, :] + shifts[None, :]
         np.minimum(least, x.min(axis=0), out=least)
     out = np.arange(bands, dtype=np.uint64)
     for column in least.reshape(bands, rows).T:
-        out = (out ^ column) * np.uint64(0x9E3779B97F4A7C15)
-        out ^= out >> np.uint64(29)
-    return out.view(np.int64)
+        out = _mixed(out ^ column)
+    masks = np.array(covering_masks(RADIUS), np.uint64)
+    tables = _mixed((masks & np.uint64(fingerprint_of([hashes]))) ^ _mixed(np.arange(1, len(masks) + 1, dtype=np.uint64) << np.uint64(32)))
+    return np.concatenate([out, tables]).view(np.int64)
 
 
 def _with_buckets(documents: DataFrame, key: str, text: str, words: int) -> DataFrame:
@@ -72,15 +80,16 @@ def _with_buckets(documents: DataFrame, key: str, text: str, words: int) -> Data
 
     schema = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("buckets", pa.list_(pa.int64()))])
 
-    def found(batches: Iterator) -> Iterator:
+    def bucketed(batches: Iterator) -> Iterator:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                texts = [text_words(t.as_py()) for t in part.column(1)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([text_node(t) for t in texts], pa.int64()),
-                                                  pa.array([buckets(shingle_set(t, words)) for t in texts], pa.list_(pa.int64()))], schema=schema)
+            nodes, found = [], []
+            for t in batch.column(1):
+                own = text_words(t.as_py())
+                nodes.append(text_node(own))
+                found.append(buckets(hashes_of(own, words)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.int64()), pa.array(found, pa.list_(pa.int64()))], schema=schema)
 
-    return documents.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(found, "key long, node long, buckets array<long>")
+    return documents.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(bucketed, "key long, node long, buckets array<long>")
 
 
 def _sets(documents: DataFrame, words: int) -> DataFrame:
@@ -91,7 +100,7 @@ def _sets(documents: DataFrame, words: int) -> DataFrame:
         for batch in batches:
             for lo in range(0, batch.num_rows, 64):
                 texts = [text_words(t.as_py()) for t in batch.column(0).slice(lo, 64)]
-                yield pa.RecordBatch.from_arrays([pa.array([text_node(t) for t in texts], pa.int64()), pa.array([shingle_set(t, words).tobytes() for t in texts], pa.binary())],
+                yield pa.RecordBatch.from_arrays([pa.array([text_node(t) for t in texts], pa.int64()), pa.array([shingle_set(hashes_of(t, words)).tobytes() for t in texts], pa.binary())],
                                                  names=["node", "shingles"])
 
     return documents.mapInArrow(found, "node long, shingles binary").dropDuplicates(["node"])

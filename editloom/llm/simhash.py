@@ -17,7 +17,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_names, written
+from .common import written
 from .components import connected_components
 
 RADIUS = 3
@@ -34,24 +34,37 @@ def signed(x: int) -> int:
     return x - 2**64 if x >= 2**63 else x
 
 
-def fingerprint(text: str | None, words: int = 3) -> int:
-    """64 bits: each is set if it is in over half the XXH64 hashes (seed 42) of the word shingles of the text."""
+def text_words(text: str | None) -> list[bytes]:
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()  # of bytes: A-Z only, and white space of ASCII only
+
+
+def shingle_hashes(found: list[bytes], words: int) -> Iterator:
+    """XXH64 (seed 42) of the word shingles, repeats included, in parts; fewer words are one shingle, no words none."""
     import numpy as np
     from xxhash import xxh64_intdigest
 
-    found = (text or "").encode().lower().split()  # of bytes: A-Z only, and white space of ASCII only
-    if not found:
-        return 0
-    n = max(1, len(found) - words + 1)
-    counts = np.zeros(64, np.int64)
-    for lo in range(0, n, 65_536):
+    if found and len(found) < words:
+        yield np.array([xxh64_intdigest(b" ".join(found), 42)], "<u8")
+    for lo in range(0, len(found) - words + 1, 65_536):
         part = found[lo : lo + 65_536 + words - 1]
-        shingles = map(b" ".join, zip(*[part[i:] for i in range(words)])) if len(found) >= words else [b" ".join(found)]
-        hashes = np.array([xxh64_intdigest(s, 42) for s in shingles], "<u8")
+        yield np.array([xxh64_intdigest(s, 42) for s in map(b" ".join, zip(*[part[i:] for i in range(words)]))], "<u8")
+
+
+def fingerprint_of(parts: Iterator) -> int:
+    """64 bits: each is set if it is in over half the hashes; 0 without any."""
+    import numpy as np
+
+    counts, n = np.zeros(64, np.int64), 0
+    for hashes in parts:
         counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        n += len(hashes)
     return int(np.packbits(counts * 2 > n, bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: str | None, words: int = 3) -> int:
+    return fingerprint_of(shingle_hashes(text_words(text), words))
+
+
 def with_fingerprints(documents: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3) -> DataFrame:
     """(key, fp): fp a signed long. A null or empty text, or one of white space, has fingerprint 0."""
     import pyarrow as pa
@@ -145,15 +158,3 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     roots = distinct.join(components, distinct["fp"] == components["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     ids = roots.join(roots.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
     return docs.join(ids, "fp").select(F.col("key").alias(key), "fp", "component_id")
-
-
-def one_of_each_group(documents: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, radius: int = RADIUS) -> DataFrame:
-    """The document of least key of each component, with all its columns; of repeated rows one stays.
-
-    A document without key goes by a hash of its text, above all keys, so it stays if its group has no other document.
-    """
-    above = F.xxhash64(text).bitwiseAND(F.lit(2**62 - 1)).bitwiseOR(F.lit(2**62))
-    (own,) = free_names(documents, "_key")
-    keyed = documents.withColumn(own, F.coalesce(F.col(key).cast("long"), above))
-    kept = near_duplicates(keyed, own, text, words, radius).where(F.col(own) == F.col("component_id")).select(own).distinct()
-    return keyed.join(kept, own, "left_semi").dropDuplicates([own]).drop(own)

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from editloom.llm import bpe, chat, components, fingerprints, language, media, mixing, queries, sharding, simhash, token_counts, token_files
+from editloom.llm import bpe, chat, components, copies, fingerprints, language, media, mixing, queries, sharding, simhash, token_counts, token_files
 from editloom.llm.common import read_table
 
 from . import brute
@@ -370,6 +370,6 @@ def test_columns_named_like_helpers(spark):
     helpers = ("_text", "_key", "_copies", "_copy")
     named = language.predict(docs, language.learn(docs))
     assert named.columns == [*docs.columns, "lang_pred", "score"]
-    for out, least in ((named, 40), (simhash.one_of_each_group(docs), 1), (mixing.mixed_documents(docs), 40)):
+    for out, least in ((named, 40), (copies.one_of_each_group(docs), 1), (mixing.mixed_documents(docs), 40)):
         found = out.collect()
         assert len(found) >= least and {tuple(r[c] for c in helpers) for r in found} == {("a", "b", "c", "d")}

@@ -9,6 +9,7 @@ from editloom.llm import queries
 from editloom.llm.common import read_table
 
 from . import brute
+from .test_copies import greedy
 
 SF = "/root/testdata/sf0.001"
 
@@ -25,8 +26,10 @@ def test_stages(spark):
 
     single = stages["near_duplicates"](spark, kept, SF).cache()
     keys = sorted(texts)
-    groups = brute.components(keys, [brute.simhash(texts[k]) for k in keys])
-    assert single.columns == columns and sorted(r["doc_id"] for r in single.collect()) == sorted(set(groups))
+    groups = greedy(texts)  # five words, similarity of 0.8: op7's contract of three words and 3 bits binds its query only
+    assert single.columns == columns and sorted(r["doc_id"] for r in single.collect()) == groups
+    linked = brute.components(keys, [brute.simhash(texts[k]) for k in keys])
+    assert len(set(groups)) <= len(set(linked))
     assert stages["near_duplicates"](spark, kept.union(kept), SF).count() == single.count()
 
     mixed = stages["mix_sources"](spark, single, SF).cache()
@@ -42,3 +45,32 @@ def test_stages(spark):
 def test_run_repeats(spark):
     once, again = (corpus_pipeline.run(spark, SF).groupBy("doc_id", "ids_sha256").agg(F.count("*")).collect() for _ in range(2))
     assert sorted(once) == sorted(again) and once
+
+
+ODD = [(1, "a b c d e f g", "en", "s", 13), (1, "a b c d e f g", "en", "s", 13), (None, "some other words in a text", None, None, None), (None, "x" * 50_000, None, "s", 1), (2, "", "en", "s", 0),
+       (3, None, None, None, None), (4, "word " * 20_000, "fr", "t", 1), (5, "A B c d e f g", "en", "t", 13), (6, "letters of no label", None, "t", 1)]
+
+
+def odd_documents(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").selectExpr(
+        "*", "1 AS bucket", "2 AS h", "'a' AS _key", "'b' AS _text", "'c' AS _predicted", "'d' AS node", "'e' AS least", "'f' AS size", "'g' AS _copy")
+
+
+def test_stages_on_odd_tables(spark):
+    """Nulls in each column, repeated rows, long texts, no usable label, names of helper columns: each stage on its own."""
+    docs = odd_documents(spark, ODD)
+    kept = {name: sorted((r["doc_id"] or 0 for r in f(spark, docs, SF).collect())) for name, f in corpus_pipeline.STAGES}
+    assert kept["language_id"] == [0, 0, 1, 1, 4, 5, 6]
+    assert kept["near_duplicates"] == [0, 0, 1, 2, 4, 6]  # 3 is as empty as 2, 5 the same words as 1
+    assert set(kept["mix_sources"]) <= {0, 1, 4, 5, 6} and kept["encode"] == sorted(r[0] or 0 for r in ODD)
+    for name, f in corpus_pipeline.STAGES[:-1]:
+        found = f(spark, docs, SF)
+        assert found.columns == docs.columns and all((r["_key"], r["node"], r["_copy"]) == ("a", "d", "g") for r in found.collect())
+
+
+def test_stages_on_empty_and_unlabelled_tables(spark):
+    empty = odd_documents(spark, ODD).where("false")
+    assert all(f(spark, empty, SF).count() == 0 for _, f in corpus_pipeline.STAGES)
+    unlabelled = odd_documents(spark, [(k, t, None, s, n) for k, t, _, s, n in ODD])
+    assert dict(corpus_pipeline.STAGES)["language_id"](spark, unlabelled, SF).where("lang IS NOT NULL").count() == 0
+    assert dict(corpus_pipeline.STAGES)["language_id"](spark, unlabelled, SF).count() == 7
