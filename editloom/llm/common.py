@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -129,3 +130,38 @@ def with_running_total(df: DataFrame, within: list[str], bucket: str, order: lis
     joined = df.withColumn("_inside", F.coalesce(F.sum(amount).over(inside), F.lit(0))).join(totals, same, "left")
     drop = ["_inside", "_before", *[f"_k{i}" for i in range(len(keys))]]
     return joined.withColumn(start, (F.col("_inside") + F.col("_before")).cast("long")).drop(*drop)
+
+
+def block_runs(rows: DataFrame, by: list[str], member: str, block: int, purpose: str) -> DataFrame:
+    """Rows that are to be compared with each other: column `run`, then those of rows but `by`; a run's rows follow each other.
+
+    Rows of one group (`by`) are one run, unless they are more than `block`: then a hash of `member` puts them into
+    blocks, and each pair of blocks is a run. No task sees a whole large group. Large groups are few, at most one for
+    each `block` rows; they go to a written table that the planner broadcasts only if it is small.
+    """
+    large = written(rows.groupBy(*by).agg(F.count("*").alias("_size")).where(F.col("_size") > block)
+                    .select(*by, F.ceil(F.col("_size") / block).cast("int").alias("_blocks")), purpose)
+    kept = [c for c in rows.columns if c not in by]
+    rows = rows.join(large, by, "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1)))
+    rows = rows.withColumn("_own", F.pmod(F.xxhash64(member), "_blocks").cast("int"))
+    rows = rows.select(*by, *kept, "_own", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other"))
+    rows = rows.withColumn("_low", F.least("_own", "_other")).withColumn("_high", F.greatest("_own", "_other"))
+    keys = [*by, "_low", "_high"]
+    return rows.repartition(*keys).sortWithinPartitions(*keys).select(F.xxhash64(*keys).alias("run"), *kept)
+
+
+def run_batches(batches: Iterator) -> Iterator:
+    """Arrow batches of `run` and other columns, cut anew so that every run is whole in one batch."""
+    import numpy as np
+    import pyarrow as pa
+
+    rest = None
+    for batch in batches:
+        table = pa.Table.from_batches([*rest, batch] if rest else [batch])
+        run = table.column(0).to_numpy()
+        cut = int(np.flatnonzero(np.r_[True, run[1:] != run[:-1]])[-1]) if len(run) else 0
+        if cut:
+            yield table.slice(0, cut).combine_chunks()
+        rest = table.slice(cut).to_batches()
+    if rest:
+        yield pa.Table.from_batches(rest).combine_chunks()

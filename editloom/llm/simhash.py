@@ -17,7 +17,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import block_runs, run_batches, written
 from .components import connected_components
 
 RADIUS = 3
@@ -103,26 +103,14 @@ def fingerprint_links(distinct: DataFrame, radius: int = RADIUS, block: int = BL
 
     masks = F.array(*[F.lit(signed(m)) for m in covering_masks(radius)])
     rows = distinct.select("fp", F.posexplode(masks).alias("table", "mask")).select("fp", "table", F.col("fp").bitwiseAND(F.col("mask")).alias("bucket"))
-    # Buckets of more than a block are few: at most one for each `block` rows.
-    large = written(rows.groupBy("table", "bucket").agg(F.count("*").alias("size")).where(F.col("size") > block)
-                    .select("table", "bucket", F.ceil(F.col("size") / block).cast("int").alias("blocks")), "simhash-buckets")
-    rows = rows.join(large, ["table", "bucket"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("fp"), "blocks").cast("int"))
-    # Each block meets itself and every other one; with a single block that is one row.
-    rows = rows.select("table", "bucket", "fp", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    rows = rows.select("table", "bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "fp")
-    keys = ["table", "bucket", "low", "high"]
-    rows = rows.repartition(*keys).sortWithinPartitions(*keys).select(F.xxhash64(*keys).alias("run"), "fp")
+    rows = block_runs(rows, ["table", "bucket"], "fp", block, "simhash-buckets")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def link(batches: Iterator) -> Iterator:
         import numpy as np
 
-        rest_run, rest_fp = np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-        def edges(run, fp):
-            if not len(run):
-                return None
+        for runs in run_batches(batches):
+            run, fp = runs.column(0).to_numpy(), runs.column(1).to_numpy()
             starts = np.flatnonzero(np.r_[True, run[1:] != run[:-1]])
             sizes = np.diff(np.r_[starts, len(run)])
             two = starts[sizes == 2]
@@ -130,17 +118,7 @@ def fingerprint_links(distinct: DataFrame, radius: int = RADIUS, block: int = BL
             near = np.bitwise_count(a.view(np.uint64) ^ b.view(np.uint64)) <= radius
             found = [(a[near], b[near])]
             found += [forest(fp[s : s + n], radius) for s, n in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True)]
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([f[i] for f in found])) for i in (0, 1)], schema=schema)
-
-        for batch in batches:
-            run = np.concatenate([rest_run, batch.column(0).to_numpy()])
-            fp = np.concatenate([rest_fp, batch.column(1).to_numpy()])
-            cut = int(np.flatnonzero(np.r_[True, run[1:] != run[:-1]])[-1]) if len(run) else 0
-            if (out := edges(run[:cut], fp[:cut])) is not None:
-                yield out
-            rest_run, rest_fp = run[cut:], fp[cut:]
-        if (out := edges(rest_run, rest_fp)) is not None:
-            yield out
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([f[i] for f in found])) for i in (0, 1)], schema=schema)
 
     return rows.mapInArrow(link, "a long, b long")
 
