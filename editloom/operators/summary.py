@@ -8,9 +8,13 @@ from pyspark.sql import functions as F
 from ..params import QUALITY_CLASSES, QualityParams
 
 
-def usable_amplicons(status: DataFrame, summary: DataFrame) -> DataFrame:
-    """Amplicons that are Completed and have a summary."""
-    return status.where("status = 'Completed'").join(summary, "amplicon", "left_semi").select("amplicon")
+def usable_amplicons(status: DataFrame, summarized: DataFrame | None = None) -> DataFrame:
+    """Amplicons that are Completed and have a summary, be it an empty one.
+
+    summarized: (amplicon) of those with a summary; without it every Completed amplicon has one.
+    """
+    done = status.where("status = 'Completed'").select("amplicon")
+    return done if summarized is None else done.join(summarized.select("amplicon"), "amplicon", "left_semi")
 
 
 def status_counts(status: DataFrame) -> DataFrame:
@@ -21,14 +25,14 @@ def filter_failures(status: DataFrame) -> DataFrame:
     return status.where("status <> 'Completed'")
 
 
-def densify(summary: DataFrame, status: DataFrame) -> DataFrame:
+def densify(summary: DataFrame, status: DataFrame, summarized: DataFrame | None = None) -> DataFrame:
     """(cell, amplicon, raw_tot, raw_mod, tot, mod) of every cell at every amplicon.
 
-    Null counts: the amplicon is not usable. Count 0 and null share: the cell has no reads there. summary has
-    (amplicon, cell, raw_reads, raw_mod_pct, final_reads, final_mut_pct). The frame of all cells by all amplicons is the
+    Null counts: the amplicon is not usable. Count 0 and null share: the cell has no reads there, as all cells have at a
+    usable amplicon with an empty summary. summary has (amplicon, cell, raw_reads, raw_mod_pct, final_reads, final_mut_pct). The frame of all cells by all amplicons is the
     result itself, one row for each entry of the matrix.
     """
-    usable = usable_amplicons(status, summary).withColumn("usable", F.lit(True))
+    usable = usable_amplicons(status, summarized).withColumn("usable", F.lit(True))
     names = status.select("amplicon").join(usable, "amplicon", "left")
     listed = names.agg(F.array_sort(F.collect_list(F.struct("amplicon", F.coalesce("usable", F.lit(False)).alias("usable")))).alias("a"))  # the panel of amplicons
     cells = summary.join(usable, "amplicon", "left_semi").select("cell").distinct()

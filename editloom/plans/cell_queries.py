@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from ..functions import sequence as sq
 from ..operators import alleles, export, qc, summary
 from ..params import CallParams
-from .fixtures import Fixtures
-from .oracle import QUALITY, oracle, pct
+from .fixtures import PANEL, Fixtures
+from .oracle import PLACE, QUALITY, oracle, pct
 from .registry import query
 
 KEYS = "amplicon, cell"
@@ -22,20 +22,25 @@ def counts(t: Fixtures):
     return alleles.allele_counts(usable(t))
 
 
+def ploidies(t: Fixtures):
+    return alleles.reference_ploidies(t.amplicons())
+
+
 def called(t: Fixtures):
-    return alleles.allele_call(counts(t))
+    return alleles.allele_call(counts(t), ploidies=ploidies(t))
 
 
 def sums(t: Fixtures):
     def make():
-        reads = usable(t)
-        return alleles.raw_summary(reads).join(alleles.final_cell_totals(alleles.allele_call(alleles.allele_counts(reads))), ["amplicon", "cell"])
+        found = alleles.cell_amplicon_summary(usable(t), ploidies=ploidies(t))
+        return found.select("amplicon", "cell", F.col("all_cell_read_count").alias("raw_reads"), F.col("all_cell_mut_pct").alias("raw_mod_pct"),
+                            F.col("final_cell_read_count").alias("final_reads"), F.col("final_cell_mut_allele_pct").alias("final_mut_pct"))
 
     return t.stage("summary", make)
 
 
 def dense(t: Fixtures):
-    return t.stage("cell-amplicon", lambda: summary.densify(sums(t), t.table("status")))
+    return t.stage("cell-amplicon", lambda: summary.densify(sums(t), t.table("panel")))
 
 
 def quality(t: Fixtures):
@@ -88,7 +93,7 @@ def annotation_totals(t):
     return alleles.annotation_totals(t.table("annotated_reads"))
 
 
-@query("references_seen", oracle("SELECT amplicon, count(DISTINCT aln_ref) AS \"references\", count(DISTINCT aln_ref) > 1 AS more_than_expected FROM annotated_reads GROUP BY amplicon", "annotated_reads"))
+@query("references_seen", oracle("SELECT amplicon, count(DISTINCT aln_ref) AS \"references\", count(DISTINCT aln_ref) > 1 AS more_than_expected FROM annotated_reads WHERE aln_ref <> 'NA' AND NOT contains(aln_ref, '&') GROUP BY amplicon", "annotated_reads"))
 def references_seen(t):
     return alleles.references_seen(t.table("annotated_reads"))
 
@@ -131,6 +136,11 @@ def allele_string(t):
     return alleles.allele_string(counts(t))
 
 
+@query("reference_ploidies", oracle("SELECT amplicon, ref, ploidy FROM ploidies", "ploidies"))
+def reference_ploidies(t):
+    return ploidies(t)
+
+
 @query("rank_alleles_per_reference", oracle("SELECT amplicon, cell, ref, allele_key, n, rnk FROM ranked", "ranked"))
 def rank_alleles_per_reference(t):
     return alleles.rank_alleles(counts(t)).withColumn("rnk", F.col("rnk").cast("long"))
@@ -161,19 +171,22 @@ def per_reference_totals(t):
     return alleles.per_reference_totals(called(t))
 
 
-_SUMMARY = """SELECT cell, amplicon, raw_reads AS all_cell_read_count, raw_mod_pct AS all_cell_mut_pct, allele_string AS all_cell_allele_string, final_reads AS final_cell_read_count, final_mut_pct AS final_cell_mut_allele_pct,
-    final_alleles AS final_cell_allele_string, CAST(1 AS BIGINT) AS final_num_refs_covered, final_flags AS final_cell_allele_mod_string, final_types AS final_cell_allele_mod_types_string, final_counts AS final_cell_allele_readcount_string,
-    CAST(final_reads AS VARCHAR) AS final_ref_read_count_string, printf('%.2f', final_mut_pct) AS final_ref_mut_allele_fracs_string FROM sums JOIN allele_strings USING (amplicon, cell) JOIN strings USING (amplicon, cell)"""
+_PER_REF = f"SELECT amplicon, cell, {PLACE} AS place, ref, CAST(sum(n) AS BIGINT) AS ref_reads, {pct("count(*) FILTER (flag = 'M')", 'count(*)')} AS ref_mut_pct FROM typed GROUP BY amplicon, cell, ref"
+_SUMMARY = f"""SELECT cell, amplicon, raw_reads AS all_cell_read_count, raw_mod_pct AS all_cell_mut_pct, allele_string AS all_cell_allele_string, final_reads AS final_cell_read_count, final_mut_pct AS final_cell_mut_allele_pct,
+    final_alleles AS final_cell_allele_string, refs AS final_num_refs_covered, final_flags AS final_cell_allele_mod_string, final_types AS final_cell_allele_mod_types_string, final_counts AS final_cell_allele_readcount_string,
+    ref_reads AS final_ref_read_count_string, ref_pcts AS final_ref_mut_allele_fracs_string FROM sums JOIN allele_strings USING (amplicon, cell) JOIN strings USING (amplicon, cell)
+    JOIN (SELECT amplicon, cell, count(*) AS refs, string_agg(CAST(ref_reads AS VARCHAR), ',' ORDER BY place, ref) AS ref_reads, string_agg(printf('%.2f', ref_mut_pct), ',' ORDER BY place, ref) AS ref_pcts
+      FROM ({_PER_REF}) r GROUP BY amplicon, cell) o USING (amplicon, cell)"""
 
 
 @query("cell_amplicon_summary", oracle(_SUMMARY, "sums", "allele_strings", "strings"))
 def cell_amplicon_summary(t):
-    return alleles.cell_amplicon_summary(usable(t))
+    return alleles.cell_amplicon_summary(usable(t), ploidies=ploidies(t))
 
 
 @query("filter_report_depth", oracle(f"SELECT cell, amplicon, all_cell_read_count FROM ({_SUMMARY}) q WHERE all_cell_read_count >= 5", "sums", "allele_strings", "strings"))
 def filter_report_depth(t):
-    return alleles.filter_report_depth(alleles.cell_amplicon_summary(usable(t))).select("cell", "amplicon", "all_cell_read_count")
+    return alleles.filter_report_depth(alleles.cell_amplicon_summary(usable(t), ploidies=ploidies(t))).select("cell", "amplicon", "all_cell_read_count")
 
 
 @query("filter_unmodified_alleles", oracle("SELECT amplicon, aligned_sequence, reads FROM allele_frequencies WHERE read_status = 'UNMODIFIED' AND n_deleted = 0 AND n_inserted = 0 AND n_mutated = 0", "allele_frequencies"))
@@ -194,7 +207,7 @@ def attach_wildtype(t):
 
 
 def consensus(t: Fixtures):
-    return alleles.consensus_sequences(called(t), alleles.allele_sequence_counts(usable(t)), alleles.wildtype_allele(t.table("allele_frequencies")))
+    return alleles.consensus_alleles(usable(t), alleles.wildtype_allele(t.table("allele_frequencies")), ploidies=ploidies(t))
 
 
 @query("consensus_sequence", oracle("SELECT amplicon, cell, ref, slot, allele_key, sequence, adjusted FROM consensus", "consensus"))
@@ -217,7 +230,7 @@ def amplicon_status_counts(t):
 
 @query("usable_amplicons", oracle("SELECT amplicon FROM usable_amps", "usable_amps"))
 def usable_amplicons(t):
-    return summary.usable_amplicons(t.table("status"), sums(t))
+    return summary.usable_amplicons(t.table("panel"))
 
 
 @query("densify_cell_amplicon", oracle("SELECT cell, amplicon, raw_tot, raw_mod, tot, mod FROM dense", "dense"))
@@ -225,7 +238,7 @@ def densify_cell_amplicon(t):
     return dense(t)
 
 
-NAMES = [f"AMP_{i:02d}" for i in range(12)]
+NAMES = [f"AMP_{i:02d}" for i in range(PANEL + 1)]
 
 
 def _wide_sql(tot: str, mod: str, where: str = "") -> str:

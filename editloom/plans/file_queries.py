@@ -96,7 +96,7 @@ def scan_amplicon_info(t):
 @query("scan_cell_summaries", oracle("SELECT amplicon, cell, raw_reads, raw_mod_pct, final_reads, final_mut_pct FROM sums", "sums"))
 def scan_cell_summaries(t):
     path = path_of(t, "summaries")
-    sinks.write_cell_summaries(alleles.cell_amplicon_summary(cq.usable(t)), path)
+    sinks.write_cell_summaries(alleles.cell_amplicon_summary(cq.usable(t), ploidies=cq.ploidies(t)), path)
     return text.cell_summaries(t.spark, path)
 
 
@@ -166,7 +166,7 @@ def write_cell_counts(t):
 @query("write_reads_by_amplicon", oracle("SELECT coalesce(amplicon, 'unidentified') AS amplicon, count(*) AS pairs FROM strict GROUP BY ALL", "strict"))
 def write_reads_by_amplicon(t):
     path = path_of(t, "by-amplicon")
-    sinks.write_reads_by_amplicon(rq.strict(t), path)
+    sinks.write_reads_by_amplicon(rq.strict(t), path, files=1)
     return t.spark.read.parquet(path).groupBy("amplicon").agg(F.count("*").alias("pairs"))
 
 
@@ -182,7 +182,7 @@ def write_split_reports(t):
 @query("write_cell_summaries", oracle("SELECT amplicon, cell, raw_reads, final_reads FROM sums", "sums"))
 def write_cell_summaries(t):
     path = path_of(t, "cell-summaries")
-    sinks.write_cell_summaries(alleles.cell_amplicon_summary(cq.usable(t)), path)
+    sinks.write_cell_summaries(alleles.cell_amplicon_summary(cq.usable(t), ploidies=cq.ploidies(t)), path)
     return text.cell_summaries(t.spark, path).select("amplicon", "cell", "raw_reads", "final_reads")
 
 

@@ -6,7 +6,7 @@ from ..params import AssignParams, CallParams, DemuxParams, QualityParams
 from .fixtures import TABLES, duckdb_ctes
 
 D, A, C = DemuxParams(), AssignParams(), CallParams()
-#: The queries' parameters: a depth cutoff that 250 cells exceed.
+#: The queries' parameters: a depth cutoff that the number of cells exceeds.
 QUALITY = QualityParams(depth_cutoff=100, min_reads_per_amplicon=0, selected=("HQ_HI", "HQ_LO"))
 _BASES = "(VALUES (0,'A'),(1,'C'),(2,'T'),(3,'G'),(4,'N')) n(j,b)"
 _RC = "translate(reverse(upper({0})),'ACGT','TGCA')"
@@ -39,6 +39,8 @@ def pct(part: str, whole: str) -> str:
     return f"CASE WHEN ({whole}) > 0 THEN CAST(floor(CAST(20000*CAST({part} AS BIGINT)+({whole}) AS BIGINT) // (2*({whole}))) AS DOUBLE)/100 END"
 
 
+#: Order of an amplicon's references.
+PLACE = "CASE ref WHEN 'Reference' THEN 0 ELSE 1 END"
 _be, _bl = _resolved("b_entries")
 _pe, _pl = _resolved("p_entries")
 _UN = "'DEL= INS= SUB='"
@@ -80,14 +82,15 @@ STEPS: dict[str, tuple[list[str], str]] = {
     "ranked": (["counts"], "SELECT *, row_number() OVER (PARTITION BY amplicon, cell, ref ORDER BY n DESC, allele_key) AS rnk FROM counts"),
     "top": (["ranked"], """SELECT amplicon, cell, ref, max(n) FILTER (rnk = 1) AS a, coalesce(max(n) FILTER (rnk = 2), 0) AS b, sum(n) AS t,
       max(allele_key) FILTER (rnk = 1) AS ka, max(allele_key) FILTER (rnk = 2) AS kb FROM ranked GROUP BY amplicon, cell, ref"""),
-    "called": (["top"], f"""SELECT amplicon, cell, ref, CAST(slot AS INT) AS slot, CASE WHEN het AND slot = 2 THEN kb ELSE ka END AS allele_key,
-        CAST(CASE WHEN het THEN CASE slot WHEN 1 THEN a ELSE b END ELSE CASE slot WHEN 1 THEN a - a//2 ELSE a//2 END END AS BIGINT) AS n
-      FROM (SELECT *, b > 0 AND {_score('a', 'b', 't-a-b')} > {_score('a-a//2', 'a//2', 't-a')} + 1e-9 AS het FROM top) q, range(1,3) r(slot)"""),
+    "called": (["top", "ploidies"], f"""SELECT amplicon, cell, ref, CAST(slot AS INT) AS slot, CASE WHEN het AND slot = 2 THEN kb ELSE ka END AS allele_key,
+        CAST(CASE WHEN k = 1 THEN a WHEN het THEN CASE slot WHEN 1 THEN a ELSE b END ELSE CASE slot WHEN 1 THEN a - a//2 ELSE a//2 END END AS BIGINT) AS n
+      FROM (SELECT *, k = 2 AND b > 0 AND {_score('a', 'b', 't-a-b')} > {_score('a-a//2', 'a//2', 't-a')} + 1e-9 AS het
+        FROM (SELECT top.*, coalesce(ploidy, 1) AS k FROM top LEFT JOIN ploidies USING (amplicon, ref)) o) q, range(1,3) r(slot) WHERE slot <= k"""),
     "typed": (["called"], f"""SELECT *, CASE WHEN edits = {_UN} THEN 'U' ELSE 'M' END AS flag, CASE WHEN {_TYPES} = '' THEN 'U' ELSE {_TYPES} END AS types
       FROM (SELECT *, split_part(allele_key, ':', 2) AS edits FROM called) q"""),
     "final": (["typed"], f"SELECT amplicon, cell, CAST(sum(n) AS BIGINT) AS final_reads, {pct("count(*) FILTER (flag = 'M')", 'count(*)')} AS final_mut_pct FROM typed GROUP BY amplicon, cell"),
-    "strings": (["typed"], """SELECT amplicon, cell, string_agg(allele_key, ',' ORDER BY ref, slot) AS final_alleles, string_agg(flag, ',' ORDER BY ref, slot) AS final_flags,
-      string_agg(types, ',' ORDER BY ref, slot) AS final_types, string_agg(CAST(n AS VARCHAR), ',' ORDER BY ref, slot) AS final_counts FROM typed GROUP BY amplicon, cell"""),
+    "strings": (["typed"], f"""SELECT amplicon, cell, string_agg(allele_key, ',' ORDER BY {PLACE}, ref, slot) AS final_alleles, string_agg(flag, ',' ORDER BY {PLACE}, ref, slot) AS final_flags,
+      string_agg(types, ',' ORDER BY {PLACE}, ref, slot) AS final_types, string_agg(CAST(n AS VARCHAR), ',' ORDER BY {PLACE}, ref, slot) AS final_counts FROM typed GROUP BY amplicon, cell"""),
     "allele_strings": (["counts"], "SELECT amplicon, cell, string_agg(allele_key || ':' || CAST(n AS VARCHAR), ',' ORDER BY n DESC, allele_key) AS allele_string FROM counts GROUP BY amplicon, cell"),
     "seqs": (["usable"], "SELECT amplicon, cell, aln_ref || ':' || ann AS allele_key, seq, count(*) AS n FROM usable GROUP BY amplicon, cell, aln_ref, ann, seq"),
     "wild": (["allele_frequencies"], """SELECT amplicon, aligned_sequence AS wildtype FROM (SELECT *, row_number() OVER (PARTITION BY amplicon ORDER BY reads DESC, aligned_sequence) AS r
@@ -97,10 +100,10 @@ STEPS: dict[str, tuple[list[str], str]] = {
     "consensus": (["called", "modal", "wild"], """SELECT c.amplicon, c.cell, ref, slot, c.allele_key, CASE WHEN ties > 1 AND top = 1 AND wildtype IS NOT NULL THEN wildtype ELSE modal END AS sequence,
       ties > 1 AND top = 1 AND wildtype IS NOT NULL AS adjusted FROM called c JOIN modal m ON c.amplicon = m.amplicon AND c.cell = m.cell AND c.allele_key = m.allele_key LEFT JOIN wild w ON c.amplicon = w.amplicon"""),
     "sums": (["raw", "final"], "SELECT amplicon, cell, raw_reads, raw_mod_pct, final_reads, final_mut_pct FROM raw JOIN final USING (amplicon, cell)"),
-    "usable_amps": (["status", "sums"], "SELECT amplicon FROM status WHERE status = 'Completed' AND amplicon IN (SELECT amplicon FROM sums)"),
+    "usable_amps": (["panel"], "SELECT amplicon FROM panel WHERE status = 'Completed'"),
     "dense": (["sums", "usable_amps"], """SELECT c.cell, s.amplicon, CAST(CASE WHEN u.amplicon IS NOT NULL THEN coalesce(raw_reads,0) END AS BIGINT) AS raw_tot, CASE WHEN u.amplicon IS NOT NULL THEN raw_mod_pct END AS raw_mod,
         CAST(CASE WHEN u.amplicon IS NOT NULL THEN coalesce(final_reads,0) END AS BIGINT) AS tot, CASE WHEN u.amplicon IS NOT NULL THEN final_mut_pct END AS mod
-      FROM (SELECT DISTINCT cell FROM sums WHERE amplicon IN (SELECT amplicon FROM usable_amps)) c CROSS JOIN status s LEFT JOIN usable_amps u ON s.amplicon = u.amplicon LEFT JOIN sums x ON x.cell = c.cell AND x.amplicon = s.amplicon"""),
+      FROM (SELECT DISTINCT cell FROM sums WHERE amplicon IN (SELECT amplicon FROM usable_amps)) c CROSS JOIN panel s LEFT JOIN usable_amps u ON s.amplicon = u.amplicon LEFT JOIN sums x ON x.cell = c.cell AND x.amplicon = s.amplicon"""),
     "mask": (["dense"], f"SELECT cell, min(raw_tot) >= {QUALITY.min_reads_per_amplicon} AS keep FROM dense WHERE raw_tot IS NOT NULL GROUP BY cell"),
     "scored": (["mask"], "SELECT * FROM dense WHERE raw_tot IS NOT NULL AND cell IN (SELECT cell FROM mask WHERE keep)"),
     "quant": (["scored"], "SELECT amplicon, " + ", ".join(f"quantile_cont(CAST(raw_tot AS DOUBLE), {q}) AS q{i}" for i, q in enumerate(QUALITY.tiers)) + " FROM scored GROUP BY amplicon"),

@@ -155,11 +155,11 @@ def position_windows(t):
     return lookups.position_windows(t.amplicons())
 
 
-@query("duplicate_locations", oracle("""SELECT DISTINCT b.amplicon, a.amplicon AS earlier FROM (SELECT *, CAST(100*(ordinal % 9) AS INT) AS s FROM amplicons) a JOIN (SELECT *, CAST(100*(ordinal % 9) AS INT) AS s FROM amplicons) b
+@query("duplicate_locations", oracle("""SELECT DISTINCT b.amplicon, a.amplicon AS earlier FROM (SELECT *, CAST(100*(ordinal // 3) AS INT) AS s FROM amplicons) a JOIN (SELECT *, CAST(100*(ordinal // 3) AS INT) AS s FROM amplicons) b
     ON a.ordinal < b.ordinal AND (b.s BETWEEN a.s-3 AND a.s+3 OR b.s+63 BETWEEN a.s+64-3 AND a.s+64+3)""", "amplicons"))
 def duplicate_locations(t):
-    """On amplicons whose places repeat after nine."""
-    moved = t.amplicons().withColumn("start", (F.col("ordinal") % 9 * 100).cast("int")).withColumn("end", F.col("start") + 64)
+    """On amplicons of which three each lie at the same place."""
+    moved = t.amplicons().withColumn("start", (F.floor(F.col("ordinal") / 3) * 100).cast("int")).withColumn("end", F.col("start") + 64)
     return lookups.duplicate_locations(moved)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -12,8 +13,12 @@ from ..operators.summary import wide
 
 
 def scratch(spark: SparkSession, purpose: str) -> str:
-    """A new folder that driver and executors share: below spark.checkpoint.dir, or a temporary folder in local use."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}/editloom"
+    """A new folder that driver and executors share: below spark.checkpoint.dir, or a temporary folder with a local master."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = f"file://{tempfile.gettempdir()}/editloom"
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
@@ -45,10 +50,10 @@ def write_cell_counts(reads_per_cell: DataFrame, path: str) -> None:
     _tsv(reads_per_cell.select("cell", "reads"), path, header=False)
 
 
-def write_reads_by_amplicon(assigned: DataFrame, path: str) -> None:
-    """Partitioned by amplicon; pairs that were not assigned are the partition `unidentified`."""
+def write_reads_by_amplicon(assigned: DataFrame, path: str, files: int = 8) -> None:
+    """Partitioned by amplicon, up to `files` files each; pairs that were not assigned are the partition `unidentified`."""
     rows = assigned.withColumn("amplicon", F.coalesce("amplicon", F.lit("unidentified")))
-    rows.repartition("amplicon", F.pmod(F.xxhash64("qname"), F.lit(8))).write.mode("overwrite").partitionBy("amplicon").parquet(path)
+    rows.repartition("amplicon", F.pmod(F.xxhash64("qname"), F.lit(files))).write.mode("overwrite").partitionBy("amplicon").parquet(path)
 
 
 def write_split_reports(reports: dict[str, DataFrame], path: str) -> None:

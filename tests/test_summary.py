@@ -15,7 +15,7 @@ def dense(spark):
     made = spark.createDataFrame([("amp_ok", "cellA", 12, 25.0, 10, 20.0), ("amp_two", "cellA", 3, 0.0, 2, 0.0), ("amp_ok", "cellB", 4, 100.0, 4, 100.0)],
                                  "amplicon string, cell string, raw_reads long, raw_mod_pct double, final_reads long, final_mut_pct double")
     status = spark.createDataFrame([("amp_ok", "Completed"), ("amp_two", "Completed"), ("amp_failed", "Failed"), ("amp_empty", "Completed")], "amplicon string, status string")
-    return summary.densify(made, status).cache()
+    return summary.densify(made, status, made).cache()  # amp_empty has no summary
 
 
 def test_three_states(dense):
