@@ -1,8 +1,9 @@
 """Chat formatting: records of many layouts become canonical turns and then one marked text per conversation.
 
-A record is a JSON object. The set of its nested field paths (names only, not the types of scalars) is hashed; the hash
-selects a declarative mapping, an SQL expression that turns the record into an array of (role, text) turns. Records
-of an unknown layout keep their fingerprint and give no turns, so that they can be counted and a mapping added.
+A record is a JSON object. The set of its nested field paths (names only, not the types of scalars, and without fields
+that say nothing of the turns, such as ids) is hashed; the hash selects a declarative mapping, an SQL expression that
+turns the record into an array of (role, text) turns. Records of an unknown layout keep their fingerprint and give no
+turns; they are counted in their conversation and returned by unknown_records, so that a mapping can be added.
 
 Template: `<|im_start|>` role `<|im_sep|>` text `<|im_end|>`. Inside roles and texts a backslash is doubled, and a
 backslash is put after the first character of each control string, so no control string is left and the escape can
@@ -20,6 +21,8 @@ START, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 #: Control strings of the common chat templates.
 CONTROL_STRINGS = (START, SEP, END, "<|system|>", "<|user|>", "<|assistant|>", "<|endoftext|>", "<|startoftext|>", "<|eot_id|>",
                    "<|start_header_id|>", "<|end_header_id|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
+#: Scalar fields that a record or turn may have or lack without being of another layout.
+PASSED_OVER = ("id", "idx", "index", "name", "source", "dataset", "model", "lang", "language", "timestamp", "created", "weight", "score", "category", "conversation_id", "conv_id", "parent_id")
 TURNS = "array<struct<role:string,text:string>>"
 #: Turns with a role or text of more characters go beside their JSON records: the JSON parser refuses strings of over 20,000,000.
 CARRIED_CHARS = 1_000_000
@@ -40,9 +43,11 @@ def _pair(user: str, assistant: str) -> str:
 
 
 def _listed(path: str, role: str, text: str) -> str:
-    return (f"transform(variant_get(v,'$.{path}','array<struct<{role}:string,{text}:string>>'), m -> named_struct('role',"
+    """Turns of a list; a text may be a string, a number or a list of parts whose texts follow each other."""
+    return (f"transform(variant_get(v,'$.{path}','array<struct<{role}:string,{text}:variant>>'), m -> named_struct('role',"
             f"case lower(m.{role}) when 'human' then 'user' when 'gpt' then 'assistant' when 'bot' then 'assistant' else m.{role} end,"
-            f"'text',m.{text}))")
+            f"'text',coalesce(array_join(transform(try_variant_get(m.{text},'$','array<struct<type:string,text:string>>'), p -> coalesce(p.text,'')),''),"
+            f"try_variant_get(m.{text},'$','string'))))")
 
 
 _INSTRUCTION_INPUT = (
@@ -60,6 +65,7 @@ LAYOUTS = (
     Layout("instruction", '{"instruction":"","output":""}', _pair("instruction", "output")),
     Layout("instruction with input", '{"instruction":"","input":"","output":""}', _INSTRUCTION_INPUT),
     Layout("messages", '{"messages":[{"role":"","content":""}]}', _listed("messages", "role", "content")),
+    Layout("messages of parts", '{"messages":[{"role":"","content":[{"type":"","text":""}]}]}', _listed("messages", "role", "content")),
     Layout("conversations", '{"conversations":[{"from":"","value":""}]}', _listed("conversations", "from", "value")),
     Layout("system and messages", '{"system":"","messages":[{"role":"","content":""}]}',
            "concat(array(named_struct('role','system','text',variant_get(v,'$.system','string')))," + _listed("messages", "role", "content") + ")"),
@@ -67,8 +73,14 @@ LAYOUTS = (
 
 
 def layout_fingerprint(variant: Column) -> Column:
-    """Hash of the nested field paths of a variant; null for what is no object."""
-    paths = F.regexp_replace(F.schema_of_variant(variant), r": (STRING|VOID|BIGINT|DOUBLE|BOOLEAN|DECIMAL\([0-9,]*\)|DATE|TIMESTAMP|TIMESTAMP_NTZ|BINARY|FLOAT)(?=[,>])", "")
+    """Hash of the nested field paths of a variant, but those of PASSED_OVER; null for what is no object.
+
+    A field that is a scalar of one type here and of another there counts as a scalar.
+    """
+    scalar = r": (STRING|VOID|BIGINT|DOUBLE|BOOLEAN|DECIMAL\([0-9,]*\)|DATE|TIMESTAMP|TIMESTAMP_NTZ|BINARY|FLOAT|VARIANT)(?=[,>])"
+    paths = F.regexp_replace(F.schema_of_variant(variant), scalar, "")
+    paths = F.regexp_replace(paths, rf"(?<=[< ])(?:{'|'.join(PASSED_OVER)})(?:, |(?=>))", "")
+    paths = F.regexp_replace(paths, ", >", ">")
     return F.when(paths.startswith("OBJECT<"), F.xxhash64(paths))
 
 
@@ -87,7 +99,7 @@ def canonical_turns(records: DataFrame, record: str = "record", layouts: tuple[L
     """Adds fingerprint, layout (name or null) and turns (array of role and text) to rows with a JSON string `record`.
 
     Null or broken JSON, arrays and scalars have no layout. A null text becomes empty, a null role the empty string.
-    A record with further fields has another fingerprint, so another layout.
+    A record with further fields has another fingerprint, so another layout, unless they are scalars of PASSED_OVER.
     """
     df = records.withColumn("_v", F.try_parse_json(record)).withColumn("fingerprint", layout_fingerprint(F.col("_v")))
     name, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
@@ -100,9 +112,14 @@ def canonical_turns(records: DataFrame, record: str = "record", layouts: tuple[L
     return df.withColumn("turns", F.coalesce(clean, F.array().cast(TURNS))).drop("_v")
 
 
+def unknown_records(records: DataFrame, record: str = "record", layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
+    """The rows of records without a layout, with their fingerprint (null for what is no object)."""
+    return canonical_turns(records, record, layouts).where("layout IS NULL").drop("layout", "turns")
+
+
 def format_chats(records: DataFrame, conversation: str, seq: str, record: str = "record", layouts: tuple[Layout, ...] = LAYOUTS,
                  trained_role: str = "assistant", carried: str | None = None) -> DataFrame:
-    """One row per conversation: formatted text, n_turns and loss_spans.
+    """One row per conversation: formatted text, n_turns, loss_spans, layouts (names, with commas) and unknown (records without a layout).
 
     `carried` names a column with the whole turn (role, text) of records that hold only its beginning, and null for others.
 
@@ -116,11 +133,11 @@ def format_chats(records: DataFrame, conversation: str, seq: str, record: str =
         whole = F.col(carried)
         filled = F.struct(F.coalesce(whole["role"], F.lit("")).alias("role"), F.coalesce(whole["text"], F.lit("")).alias("text"))
         turns = turns.withColumn("turns", F.when(whole.isNotNull(), F.array(filled)).otherwise(F.col("turns")))
-    rows = turns.select(F.col(conversation).alias("conversation"), F.col(seq).alias("seq"), F.col(record).alias("record"), whole.alias("whole"),
+    rows = turns.select(F.col(conversation).alias("conversation"), F.col(seq).alias("seq"), F.col(record).alias("record"), whole.alias("whole"), "layout",
                         F.posexplode_outer("turns").alias("at", "turn"))
     head = F.concat(F.lit(START), escape(F.col("turn.role")), F.lit(SEP))
     body = escape(F.col("turn.text"))
-    rows = rows.select("conversation", "seq", "record", "whole", "at", F.col("turn.role").alias("role"), head.alias("head"), body.alias("body"))
+    rows = rows.select("conversation", "seq", "record", "whole", "layout", "at", F.col("turn.role").alias("role"), head.alias("head"), body.alias("body"))
     rows = rows.withColumn("piece", F.concat("head", "body", F.lit(END)))
     order = Window.partitionBy("conversation").orderBy("seq", "record", "whole", "at")
     rows = rows.withColumn("n", F.row_number().over(order)).withColumn(
@@ -129,9 +146,10 @@ def format_chats(records: DataFrame, conversation: str, seq: str, record: str =
         (F.col("before") + F.octet_length("head")).cast("long").alias("start"), F.octet_length("body").cast("long").alias("length")))
     grouped = rows.groupBy("conversation").agg(
         F.array_sort(F.collect_list(F.when(F.col("piece").isNotNull(), F.struct("n", "piece")))).alias("pieces"),
-        F.array_sort(F.collect_list(span)).alias("loss_spans"))
+        F.array_sort(F.collect_list(span)).alias("loss_spans"),
+        F.array_join(F.array_sort(F.collect_set("layout")), ",").alias("layouts"), F.count_if(F.col("layout").isNull()).alias("unknown"))
     return grouped.select(F.col("conversation").alias(conversation), F.size("pieces").cast("long").alias("n_turns"),
-                          F.array_join(F.col("pieces.piece"), "").alias("formatted"), "loss_spans")
+                          F.array_join(F.col("pieces.piece"), "").alias("formatted"), "loss_spans", "layouts", "unknown")
 
 
 def read_chats(formatted: DataFrame, text: str = "formatted") -> DataFrame:
@@ -162,7 +180,7 @@ def digest(read: DataFrame) -> DataFrame:
     loss = F.array_join("loss_texts", "")
     return read.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(lines, 256).alias("turns_sha256"),
                        F.char_length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
-                       F.char_length("formatted").cast("long").alias("formatted_chars"))
+                       F.char_length("formatted").cast("long").alias("formatted_chars"), "layouts")
 
 
 def sample_conversation(spark: SparkSession) -> DataFrame:

@@ -89,7 +89,7 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), {quote} ORDER BY turn, role, text)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(text, {quote} ORDER BY turn, role, text) FILTER (role = 'assistant'), {quote})) AS loss_sha256,
-  CAST(sum(length('{chat.START}{chat.SEP}{chat.END}') + length({escaped('role')}) + length({escaped('text')})) AS BIGINT) AS formatted_chars
+  CAST(sum(length('{chat.START}{chat.SEP}{chat.END}') + length({escaped('role')}) + length({escaped('text')})) AS BIGINT) AS formatted_chars, 'turn row' AS layouts
 FROM said GROUP BY conv_id"""
 
 
