@@ -16,7 +16,7 @@ def scratch(spark: SparkSession, purpose: str) -> str:
     """A new folder that driver and executors share: below spark.checkpoint.dir, or a temporary folder with a local master."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        if not re.match(r"local(\[[^\]]*\])?$", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = f"file://{tempfile.gettempdir()}/editloom"
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
