@@ -3,7 +3,8 @@
 The leaves of a word's tree are the merge ranks of its adjacent symbol pairs, ties broken by place; the root is the
 leftmost pair of lowest rank. Merging it changes two neighbouring leaves and removes one, so each merge updates three
 paths to the root, until the root says that no pair can be merged. The trees of many words are rows of the same numpy
-arrays and merge in step. Words repeat, so encoded words are kept in a bounded cache of each Python worker.
+arrays and merge in step; few words, like a single huge one, are merged one by one. Words repeat, so encoded words are
+kept in a bounded cache of each Python worker.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import hashlib
 import json
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -22,6 +24,7 @@ from pyspark.sql import functions as F
 from .byte_bpe import byte_characters
 
 NO_PAIR = 2**62
+FEW = 16  # a step of numpy's calls costs about as much as a merge in each of so many single trees
 
 
 class SegmentTreeBpe:
@@ -54,6 +57,7 @@ class SegmentTreeBpe:
         self.merged = np.array([vocab[a + b] for a, b in pairs], np.int64)
         self.order = np.argsort(keys, kind="stable")
         self.keys = keys[self.order]
+        self.rank = dict(zip(keys[::-1].tolist(), range(len(pairs) - 1, -1, -1), strict=True))
         self.half, self.recent, self.old = max(1, keep_words // 2), {}, {}
 
     @staticmethod
@@ -111,6 +115,49 @@ class SegmentTreeBpe:
         ends = np.cumsum(kept.sum(axis=1))
         return [x.tobytes() for x in np.split(ids, ends[:-1])]
 
+    def _merge_one(self, word: bytes, size: int) -> bytes:
+        """Ids of one word of at most `size` bytes. tree[1] is the root, tree[size + i] the leaf of place i."""
+        import numpy as np
+
+        n = len(word)
+        first = self.first[np.frombuffer(word, np.uint8)]
+        first[-1] = self.last[word[-1]]
+        levels = [np.full(size, NO_PAIR, np.int64)]
+        levels[0][: n - 1] = self._leaves(first[:-1], first[1:], np.arange(n - 1), size)
+        while len(levels[-1]) > 1:
+            levels.append(np.minimum(levels[-1][0::2], levels[-1][1::2]))
+        tree = array("q", np.concatenate([[NO_PAIR], *levels[::-1]]).astype(np.int64).tobytes())
+        symbols, after, before = array("q", first.tobytes()), array("q", range(1, n + 1)), array("q", range(-1, n - 1))
+
+        def put(place: int, a: int, b: int) -> None:
+            rank = self.rank.get(self._key(a, b)) if b >= 0 else None
+            i, value = size + place, NO_PAIR if rank is None else rank * size + place
+            tree[i] = value
+            while i > 1:
+                beside = tree[i ^ 1]
+                value = min(value, beside)
+                i >>= 1
+                if tree[i] == value:
+                    return
+                tree[i] = value
+
+        while (root := tree[1]) < NO_PAIR:
+            rank, at = divmod(root, size)
+            gone, left = after[at], before[at]
+            right = after[at] = after[gone]
+            symbols[at] = whole = int(self.merged[rank])
+            symbols[gone] = -1
+            put(gone, whole, -1)
+            if right < n:
+                before[right] = at
+                put(at, whole, symbols[right])
+            else:
+                put(at, whole, -1)
+            if left >= 0:
+                put(left, symbols[left], whole)
+        ids = np.frombuffer(symbols, np.int64)
+        return ids[ids >= 0].astype("<u4").tobytes()
+
     def _learn(self, words: list[str]) -> None:
         by_size: dict[int, list[str]] = {}
         for w in words:
@@ -119,7 +166,8 @@ class SegmentTreeBpe:
             step = max(1, 2**17 // size)
             for i in range(0, len(same), step):
                 part = same[i : i + step]
-                self.recent.update(zip(part, self._merge([w.encode() for w in part], size), strict=True))
+                raw = [w.encode() for w in part]
+                self.recent.update(zip(part, self._merge(raw, size) if len(part) > FEW else [self._merge_one(w, size) for w in raw], strict=True))
 
     def _cut(self, text: str) -> list[str]:
         normal = text if text.isascii() else unicodedata.normalize("NFC", text).replace("Σ", "σ")

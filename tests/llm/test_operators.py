@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 import zlib
 from collections import defaultdict
 
@@ -128,6 +129,20 @@ def test_op2_random_texts():
             assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_bpe_of_single_long_words_is_quick_and_right():
+    from tokenizers import Tokenizer
+
+    path, r = queries.tokenizer_path("word_bpe_49k.json"), random.Random(11)
+    library, own = Tokenizer.from_file(path), bpe.SegmentTreeBpe(path)
+    words = ["a" * n for n in (1, 2, 7, 8, 9, 5_000)] + ["".join(r.choice("etaoinshrdlu漢é") for _ in range(n)) for n in (3, 33, 6_000)]
+    want = [np.array(library.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in words]
+    assert [own.encode_batch([w])[0] for w in words] == want
+    assert bpe.SegmentTreeBpe(path).encode_batch(words * 3) == want * 3
+    started = time.process_time()
+    own.encode_batch(["".join(r.choice("etaoinshrdlu") for _ in range(80_000))])
+    assert time.process_time() - started < 5
+
+
 def test_op3(spark, table, texts):
     got = rows(queries.op3_minimax_shards(spark, table))
     assert sorted(got) == sorted(texts)
