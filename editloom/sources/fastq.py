@@ -33,18 +33,33 @@ def _raw(path: str, compression: str | None):
 
 
 def _open(path: str):
-    stream = _raw(path, "gzip" if path.endswith(".gz") else None)
-    return io.TextIOWrapper(io.BufferedReader(stream), encoding="utf-8", newline="\n")
+    return io.BufferedReader(_raw(path, "gzip" if path.endswith(".gz") else None))
 
 
-def records(path: str) -> Iterator[tuple[str, str, str, str]]:
-    """(name, sequence, plus line, quality) of whole records; stops at an incomplete one."""
+def records(path: str) -> Iterator:
+    """Batches of whole records as Arrow columns: name, sequence, plus line, quality. All but the last batch have BATCH rows.
+
+    Stops at an incomplete record. An error of reading is raised after the whole records before it.
+    """
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    failed = None
     with _open(path) as f:
-        while True:
-            four = [line.rstrip("\r\n") for line in islice(f, 4)]
-            if len(four) < 4:
-                return
-            yield four[0].removeprefix("@"), four[1], four[2], four[3]
+        while failed is None:
+            lines: list[bytes] = []
+            try:
+                for line in islice(f, 4 * BATCH):
+                    lines.append(line)
+            except (EOFError, OSError, zlib.error) as error:
+                failed = error
+            whole = len(lines) // 4 * 4
+            if not whole:
+                break
+            name, *rest = (pc.utf8_rtrim(pa.array(lines[i:whole:4], pa.string()), characters="\r\n") for i in range(4))
+            yield pc.if_else(pc.starts_with(name, "@"), pc.utf8_slice_codeunits(name, 1), name), *rest
+    if failed is not None:
+        raise failed
 
 
 def is_cut(path: str) -> bool:
@@ -87,11 +102,12 @@ class PairReader(DataSourceReader):
     def read(self, partition: Lane) -> Iterator:
         import pyarrow as pa
 
-        both = enumerate(zip(records(partition.r1), records(partition.r2)))  # ends with the shorter file
-        while rows := list(islice(both, BATCH)):
-            yield pa.RecordBatch.from_arrays([
-                pa.array([partition.number] * len(rows), pa.int32()), pa.array([i for i, _ in rows], pa.int64()), *[pa.array([get(a, b) for _, (a, b) in rows], pa.string()) for get in (
-                    lambda a, b: a[0], lambda a, b: a[1], lambda a, b: a[3], lambda a, b: b[1], lambda a, b: b[3])]], names=["lane", "ordinal", "name", "seq1", "qual1", "seq2", "qual2"])
+        start = 0
+        for one, two in zip(records(partition.r1), records(partition.r2)):  # ends with the shorter file
+            n = min(len(one[0]), len(two[0]))
+            columns = [c.slice(0, n) for c in (one[0], one[1], one[3], two[1], two[3])]
+            yield pa.RecordBatch.from_arrays([pa.array([partition.number] * n, pa.int32()), pa.array(range(start, start + n), pa.int64()), *columns], names=["lane", "ordinal", "name", "seq1", "qual1", "seq2", "qual2"])
+            start += n
 
 
 class PairSource(DataSource):
@@ -124,10 +140,11 @@ class RecordReader(DataSourceReader):
 
         if not partition.path:
             return
-        numbered = enumerate(self._whole(partition.path))
-        while rows := list(islice(numbered, BATCH)):
-            yield pa.RecordBatch.from_arrays([pa.array([partition.path] * len(rows), pa.string()), pa.array([i for i, _ in rows], pa.int64()), *[pa.array([r[j] for _, r in rows], pa.string()) for j in range(4)]],
-                                             names=["path", "ordinal", "name", "seq", "plus", "qual"])
+        start = 0
+        for columns in self._whole(partition.path):
+            n = len(columns[0])
+            yield pa.RecordBatch.from_arrays([pa.array([partition.path] * n, pa.string()), pa.array(range(start, start + n), pa.int64()), *columns], names=["path", "ordinal", "name", "seq", "plus", "qual"])
+            start += n
 
     def _whole(self, path: str) -> Iterator:
         """Whole records; with cut_files, a compressed stream that is proven to be cut ends with its last one. Other errors fail the task."""

@@ -35,9 +35,18 @@ def fastq_line(name: str, seq: str, qual: str, plus: str = "'+'"):
     return F.expr(f"concat('@', {name}, '\\n', {seq}, '\\n', {plus}, '\\n', {qual})")
 
 
-def write_fastq_pairs(pairs: DataFrame, path: str, lanes: int = 2, compress: bool = True) -> None:
-    """path/r1 and path/r2: one file per lane each, records in the same order. pairs: name, seq1, qual1, seq2, qual2."""
-    by_lane = pairs.repartition(lanes, "name").sortWithinPartitions("name")
+def lanes_for(pairs: DataFrame, most: int = 1_000_000, least: int = 50_000) -> int:
+    """Lanes of at most `most` pairs on average; as many as there are cores while they have `least` pairs; 1 at least."""
+    n = pairs.count()
+    return max(1, -(-n // most), min(pairs.sparkSession.sparkContext.defaultParallelism, -(-n // least)))
+
+
+def write_fastq_pairs(pairs: DataFrame, path: str, lanes: int | None = None, compress: bool = True) -> None:
+    """path/r1 and path/r2: one file per lane each, records in the same order. pairs: name, seq1, qual1, seq2, qual2.
+
+    Without `lanes`, their number follows the number of pairs, which is counted first.
+    """
+    by_lane = pairs.repartition(lanes or lanes_for(pairs), "name").sortWithinPartitions("name", "seq1", "seq2", "qual1", "qual2")
     for i in (1, 2):
         by_lane.select(fastq_line("name", f"seq{i}", f"qual{i}")).write.mode("overwrite").text(f"{path}/r{i}", compression="gzip" if compress else "none")
 

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import gzip
+import random
 
+import pyarrow as pa
 import pytest
 
 from editloom.sources import fastq
@@ -26,7 +28,7 @@ def test_a_transient_error_is_raised(tmp_path, monkeypatch):
         f.write(RECORD * 10)
 
     def failing(path):
-        yield ("a", "b", "c", "d")
+        yield [pa.array([x]) for x in "abcd"]
         raise OSError("connection reset")
 
     monkeypatch.setattr(fastq, "records", failing)
@@ -43,3 +45,25 @@ def test_a_cut_stream_ends_with_a_warning(tmp_path):
         read(f"file://{path}")
     with pytest.raises((EOFError, OSError)):
         list(fastq.RecordReader({"paths": f"file://{path}", "cut_files": "false"}).read(fastq.OneFile(f"file://{path}")))
+
+
+def test_batches_number_on_and_lines_are_trimmed(tmp_path, monkeypatch):
+    monkeypatch.setattr(fastq, "BATCH", 3)
+    for name, n in (("a", 8), ("b", 7)):
+        (tmp_path / name).write_bytes(b"".join(b"@@r%d x\r\nAC\n+\nII\r\r\n" % i for i in range(n)) + b"@part\nA\n+\n")
+    one, two = f"file://{tmp_path}/a", f"file://{tmp_path}/b"
+    got = [r for b in fastq.RecordReader({"paths": one}).read(fastq.OneFile(one)) for r in b.to_pylist()]
+    assert [(r["ordinal"], r["name"], r["seq"], r["plus"], r["qual"]) for r in got] == [(i, f"@r{i} x", "AC", "+", "II") for i in range(8)]
+    reader = fastq.PairReader({"r1": one, "r2": two})
+    assert [r["ordinal"] for p in reader.partitions() for b in reader.read(p) for r in b.to_pylist()] == list(range(7))
+    (tmp_path / "none").write_bytes(b"")
+    assert read(f"file://{tmp_path}/none") == []
+
+
+def test_a_cut_stream_keeps_the_records_before_the_cut(tmp_path):
+    r, path = random.Random(2), tmp_path / "long.fastq.gz"
+    with gzip.open(path, "wt") as f:
+        f.write("".join(f"@r{i}\n{''.join(r.choices('ACGT', k=60))}\n+\n{'I' * 60}\n" for i in range(6000)))
+    path.write_bytes(path.read_bytes()[:-200])
+    with pytest.warns(UserWarning, match="is cut"):
+        assert 5000 < sum(read(f"file://{path}")) < 6000
