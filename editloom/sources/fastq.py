@@ -25,10 +25,24 @@ PAIR_SCHEMA = "lane int, ordinal long, name string, seq1 string, qual1 string, s
 RECORD_SCHEMA = "path string, ordinal long, name string, seq string, plus string, qual string"
 
 
-def _raw(path: str, compression: str | None):
+def _place(path: str):
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+
+
+def must_exist(paths: list[str]) -> None:
+    """Refuses a list with missing files before any task starts."""
     from pyarrow import fs
 
-    files, inner = fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+    for path in paths:
+        files, inner = _place(path)
+        if files.get_file_info(inner).type != fs.FileType.File:
+            raise FileNotFoundError(f"there is no file {path}")
+
+
+def _raw(path: str, compression: str | None):
+    files, inner = _place(path)
     return files.open_input_stream(inner, compression=compression)
 
 
@@ -97,6 +111,7 @@ class PairReader(DataSourceReader):
         self.lanes = [Lane(i, a.strip(), b.strip()) for i, (a, b) in enumerate(zip(r1, r2, strict=True))]
 
     def partitions(self) -> list[Lane]:
+        must_exist([p for lane in self.lanes for p in (lane.r1, lane.r2)])
         return self.lanes
 
     def read(self, partition: Lane) -> Iterator:
@@ -133,6 +148,7 @@ class RecordReader(DataSourceReader):
         self.cut_files = options.get("cut_files", "true") == "true"
 
     def partitions(self) -> list[OneFile]:
+        must_exist(self.paths)
         return [OneFile(p) for p in self.paths] or [OneFile("")]
 
     def read(self, partition: OneFile) -> Iterator:

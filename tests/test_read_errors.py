@@ -67,3 +67,13 @@ def test_a_cut_stream_keeps_the_records_before_the_cut(tmp_path):
     path.write_bytes(path.read_bytes()[:-200])
     with pytest.warns(UserWarning, match="is cut"):
         assert 5000 < sum(read(f"file://{path}")) < 6000
+
+
+def test_missing_files_are_refused_before_any_task(tmp_path):
+    (tmp_path / "a.fastq").write_text(RECORD)
+    there, missing = f"file://{tmp_path}/a.fastq", f"file://{tmp_path}/b.fastq"
+    with pytest.raises(FileNotFoundError, match="b.fastq"):
+        fastq.PairReader({"r1": there, "r2": missing}).partitions()
+    with pytest.raises(FileNotFoundError, match="b.fastq"):
+        fastq.RecordReader({"paths": f"{there},{missing}"}).partitions()
+    assert len(fastq.RecordReader({"paths": there}).partitions()) == 1
