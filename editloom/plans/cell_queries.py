@@ -507,7 +507,7 @@ def var_metadata(t):
     return export.var_metadata(dense(t), t.table("amplicons")).select("amplicon", "chr", "start_pos", "end_pos")
 
 
-@query("var_statistics", oracle("SELECT amplicon, CAST(coalesce(sum(tot),0) AS BIGINT) AS total_coverage, coalesce(sum(tot)/count(tot), 0) AS average_coverage, CASE WHEN count(mod) > 0 THEN sum(CAST(round(mod*100) AS BIGINT))/count(mod)/100 ELSE 0 END AS editing_efficiency FROM dense GROUP BY amplicon", "dense"))
+@query("var_statistics", oracle("SELECT * FROM var_stats", "var_stats"))
 def var_statistics(t):
     return export.var_statistics(dense(t))
 

@@ -10,7 +10,7 @@ from . import cell_queries as cq
 from . import read_queries as rq
 from .cell_queries import NAMES
 from .oracle import oracle
-from .registry import query
+from .registry import ORACLES, query
 
 
 def path_of(t, name: str) -> str:
@@ -149,11 +149,11 @@ def scan_allele_parquet(t):
 # Sinks
 
 
-@query("write_tagged_reads", oracle("SELECT split_part(name, ' ', 1) AS read_id, cell, length(rest1) AS n FROM flagged WHERE clean", "flagged"))
+@query("write_tagged_reads", ORACLES["tag_reads"])
 def write_tagged_reads(t):
     path = path_of(t, "tagged")
     sinks.write_tagged_reads(demux.tag_reads(rq.flagged(t)), path)
-    return t.spark.read.parquet(path).select("read_id", "cell", F.length("seq1").cast("long").alias("n"))
+    return t.spark.read.parquet(path)
 
 
 @query("write_cell_counts", oracle("SELECT cell, count(*) AS reads FROM aligned_pairs GROUP BY cell", "aligned_pairs"))
@@ -163,50 +163,74 @@ def write_cell_counts(t):
     return text.cell_counts(t.spark, path)
 
 
-@query("write_reads_by_amplicon", oracle("SELECT coalesce(amplicon, 'unidentified') AS amplicon, count(*) AS pairs FROM strict GROUP BY ALL", "strict"))
+@query("write_reads_by_amplicon", oracle("SELECT qname, cell, coalesce(amplicon, 'unidentified') AS amplicon, amp1, amp2, amp1_aln, amp2_aln, rescued FROM strict", "strict"))
 def write_reads_by_amplicon(t):
     path = path_of(t, "by-amplicon")
     sinks.write_reads_by_amplicon(rq.strict(t), path, files=1)
-    return t.spark.read.parquet(path).groupBy("amplicon").agg(F.count("*").alias("pairs"))
+    return t.spark.read.parquet(path).select("qname", "cell", "amplicon", *assign.CALLS, "rescued")
 
 
-@query("write_split_reports", oracle("SELECT amp1, amp2, amp1_aln, amp2_aln, count(*) AS pair_count FROM strict GROUP BY ALL", "strict"))
+_REPORTS = """SELECT 'classification' AS report, concat_ws('|', CAST(amplicon IS NOT NULL AS VARCHAR), coalesce(amp1, 'NA'), coalesce(amp2, 'NA'), coalesce(amp1_aln, 'NA'), coalesce(amp2_aln, 'NA')) AS key,
+    'pair_count' AS measure, count(*) AS n FROM strict GROUP BY ALL
+  UNION ALL SELECT 'cells', cell, 'aligned', count(*) FILTER (chr1 <> '*' AND chr2 <> '*') FROM strict GROUP BY cell
+  UNION ALL SELECT 'cells', cell, 'unaligned', count(*) FILTER (chr1 = '*' OR chr2 = '*') FROM strict GROUP BY cell
+  UNION ALL SELECT 'totals', 'all', 'total', count(*) FROM strict
+  UNION ALL SELECT 'totals', 'all', 'aligned', count(*) FROM strict WHERE chr1 <> '*' AND chr2 <> '*'
+  UNION ALL SELECT 'totals', 'all', 'identified', count(amplicon) FROM strict
+  UNION ALL SELECT 'totals', 'all', 'rescued', count(*) FROM strict WHERE rescued
+  UNION ALL SELECT 'totals', 'all', replace(r, ' ', '_'), (SELECT count(*) FROM strict WHERE amplicon IS NULL AND reason = r) FROM (VALUES ('chimeric'), ('other location'), ('unidentified')) v(r)"""
+
+
+@query("write_split_reports", oracle(_REPORTS, "strict"))
 def write_split_reports(t):
+    """All three reports, read back as (report, key, measure, n)."""
     path = path_of(t, "reports")
-    assigned = rq.strict(t)
+    assigned = t.stage("strict", lambda: rq.strict(t))
     sinks.write_split_reports({"classification": assign.call_combinations(assigned), "totals": assign.split_totals(assigned), "cells": assign.pairs_per_cell_status(assigned)}, path)
-    read = t.spark.read.csv(f"{path}/classification", sep="\t", header=True, nullValue="NA", schema="valid boolean, amp1 string, amp2 string, amp1_aln string, amp2_aln string, pair_count long")
-    return read.drop("valid")
+    table = lambda name, schema: t.spark.read.csv(f"{path}/{name}", sep="\t", header=True, nullValue="NA", schema=schema)
+    calls = [F.coalesce(F.col(c).cast("string"), F.lit("NA")) for c in ("valid", *assign.CALLS)]
+    classes = table("classification", "valid boolean, amp1 string, amp2 string, amp1_aln string, amp2_aln string, pair_count long").select(F.concat_ws("|", *calls).alias("key"), "pair_count")
+    totals = table("totals", "total long, aligned long, identified long, rescued long, chimeric long, other_location long, unidentified long").withColumn("key", F.lit("all"))
+    found = {"classification": classes, "totals": totals, "cells": table("cells", "key string, aligned long, unaligned long")}
+    out = [df.unpivot("key", [c for c in df.columns if c != "key"], "measure", "n").select(F.lit(name).alias("report"), "key", "measure", "n") for name, df in found.items()]
+    return out[0].unionByName(out[1]).unionByName(out[2])
 
 
-@query("write_cell_summaries", oracle("SELECT amplicon, cell, raw_reads, final_reads FROM sums", "sums"))
+@query("write_cell_summaries", ORACLES["cell_amplicon_summary"])
 def write_cell_summaries(t):
     path = path_of(t, "cell-summaries")
-    sinks.write_cell_summaries(alleles.cell_amplicon_summary(cq.usable(t), ploidies=cq.ploidies(t)), path)
-    return text.cell_summaries(t.spark, path).select("amplicon", "cell", "raw_reads", "final_reads")
+    rows = alleles.cell_amplicon_summary(cq.usable(t), ploidies=cq.ploidies(t))
+    sinks.write_cell_summaries(rows, path)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "amplicon")
+    return t.spark.read.csv(path, sep="\t", header=True, nullValue="NA", schema=f"{schema}, amplicon string")
 
 
-@query("write_consensus_alleles", oracle("SELECT substr('@' || amplicon || ':' || CASE WHEN adjusted THEN 'Adjusted:' ELSE '' END || replace(allele_key, ' ', '_') || ':' || cell || ':' || CAST(slot AS VARCHAR), 2) AS name, sequence AS seq, cell FROM consensus", "consensus"))
+@query("write_consensus_alleles", oracle("SELECT amplicon || ':' || CASE WHEN adjusted THEN 'Adjusted:' ELSE '' END || replace(allele_key, ' ', '_') || ':' || cell || ':' || CAST(slot AS VARCHAR) AS name, sequence AS seq, repeat('a', length(sequence)) AS qual, cell, amplicon FROM consensus", "consensus"))
 def write_consensus_alleles(t):
     path = path_of(t, "consensus")
     sinks.write_consensus_alleles(alleles.allele_records(cq.consensus(t)), path)
     read = fastq.read_records(t.spark, sinks.files_of(t.spark, path), cut_files=False)
-    return read.select("name", "seq", fastq.second_last_field(F.col("name")).alias("cell"))
+    return read.select("name", "seq", "qual", fastq.second_last_field(F.col("name")).alias("cell"), F.regexp_extract("path", "amplicon=([^/]+)/", 1).alias("amplicon"))
+
+
+_MATRICES = " UNION ALL ".join(f"SELECT '{kind}_{rows}' AS matrix, cell, amplicon, {tot} AS tot, {mod} AS mod FROM dense" + (" WHERE cell IN (SELECT cell FROM quality)" if rows == "scored" else "")
+                               for kind, tot, mod in (("final", "tot", "mod"), ("raw", "raw_tot", "raw_mod")) for rows in ("all", "scored"))
 
 
-@query("write_matrices", oracle("SELECT cell, amplicon, raw_tot AS tot, raw_mod AS mod FROM dense WHERE cell IN (SELECT cell FROM quality)", "quality"))
+@query("write_matrices", oracle(_MATRICES, "quality"))
 def write_matrices(t):
     path = path_of(t, "matrices")
     dense = cq.dense(t)
     sinks.write_matrices(dense, summary.scored_only(dense, cq.quality(t)), NAMES, path)
-    return text.wide_summary(t.spark, f"{path}/raw_scored")
+    out = [text.wide_summary(t.spark, f"{path}/{name}").withColumn("matrix", F.lit(name)) for name in ("final_all", "raw_all", "final_scored", "raw_scored")]
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
 
 
-@query("write_cell_quality", oracle("SELECT cell, read_count, color FROM quality", "quality"))
+@query("write_cell_quality", ORACLES["quality_class"])
 def write_cell_quality(t):
     path = path_of(t, "cell-quality")
     sinks.write_cell_quality(cq.quality(t), path)
-    return text.cell_quality(t.spark, path).select("cell", "read_count", "color")
+    return text.cell_quality(t.spark, path)
 
 
 @query("write_filter_failures", oracle("SELECT amplicon, reads, result, status FROM status WHERE status <> 'Completed'", "status"))
@@ -216,18 +240,27 @@ def write_filter_failures(t):
     return text.run_manifest(t.spark, f"{path}/failures")
 
 
-@query("write_allele_parquet", oracle("SELECT amplicon, count(*) AS alleles, CAST(sum(n) AS BIGINT) AS reads FROM alleles GROUP BY amplicon", "alleles"))
+@query("write_allele_parquet", ORACLES["filtered_allele_counts"])
 def write_allele_parquet(t):
     path = path_of(t, "allele-parquet")
     sinks.write_allele_parquet(cq.filtered(t), path)
-    return t.spark.read.parquet(path).groupBy("amplicon").agg(F.count("*").alias("alleles"), F.sum("n").alias("reads"))
+    return t.spark.read.parquet(path).select("cell", "amplicon", "allele_sequence", "n")
+
+
+_SETTINGS = """SELECT 'cells' AS name, CAST(count(DISTINCT cell) AS VARCHAR) AS value FROM dense UNION ALL SELECT 'amplicons', CAST(count(DISTINCT amplicon) AS VARCHAR) FROM dense
+  UNION ALL SELECT * FROM (VALUES """ + ", ".join(f"('zygosity {k}', '{v}')" for k, v in export.ZYGOSITY_LABELS.items()) + ", ('assembly', 'none')) m"
+_LAYERS = f"""SELECT l.*, amplicon_score, read_count, barcode_rank, color, total_coverage, average_coverage, editing_efficiency,
+    (SELECT string_agg(name || '=' || value, ';' ORDER BY name) FROM ({_SETTINGS}) s) AS settings
+  FROM layers l JOIN quality q ON l.cell = q.cell JOIN var_stats v ON l.amplicon = v.amplicon"""
 
 
-@query("write_layers", oracle("SELECT l.*, color FROM layers l JOIN quality q ON l.cell = q.cell", "layers", "quality"))
+@query("write_layers", oracle(_LAYERS, "layers", "quality", "var_stats"))
 def write_layers(t):
+    """All four tables, joined; the few settings are one row."""
     path = path_of(t, "layers")
     dense, quality = cq.dense(t), cq.quality(t)
     sinks.write_layers({"obs": export.obs_table(dense, quality), "var": export.var_statistics(dense), "layers": export.layer_table(dense, export.top2_alleles(cq.filtered(t))),
                         "run_metadata": export.run_metadata(dense, assembly="none")}, path)
-    read = t.spark.read
-    return read.parquet(f"{path}/layers").join(read.parquet(f"{path}/obs").select("cell", "color"), "cell")
+    layers, obs, var, settings = (t.spark.read.parquet(f"{path}/{name}") for name in ("layers", "obs", "var", "run_metadata"))
+    line = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("name", "value"))), lambda s: F.concat_ws("=", s["name"], s["value"])), ";")
+    return layers.join(obs, "cell").join(var, "amplicon").crossJoin(settings.agg(line.alias("settings")))

@@ -111,6 +111,8 @@ STEPS: dict[str, tuple[list[str], str]] = {
     "cell_ranks": (["score"], "SELECT *, row_number() OVER (ORDER BY read_count DESC, cell) AS barcode_rank FROM score"),
     "quality": (["cell_ranks"], f"""SELECT cell, amplicon_score, read_count, barcode_rank, CASE WHEN amplicon_score >= (SELECT quantile_cont(amplicon_score, 0.5) FROM cell_ranks WHERE barcode_rank <= {QUALITY.depth_cutoff}) THEN 'HQ' ELSE 'LQ' END
       || '_' || CASE WHEN barcode_rank <= {QUALITY.depth_cutoff} THEN 'HI' ELSE 'LO' END AS color FROM cell_ranks"""),
+    "var_stats": (["dense"], """SELECT amplicon, CAST(coalesce(sum(tot),0) AS BIGINT) AS total_coverage, coalesce(sum(tot)/count(tot), 0) AS average_coverage,
+      CASE WHEN count(mod) > 0 THEN sum(CAST(round(mod*100) AS BIGINT))/count(mod)/100 ELSE 0 END AS editing_efficiency FROM dense GROUP BY amplicon"""),
     "picked": (["quality"], "SELECT * FROM dense WHERE cell IN (SELECT cell FROM quality WHERE color IN ('HQ_HI','HQ_LO'))"),
     "depths": (["quality"], "SELECT cell, CASE WHEN color IN ('HQ_HI','HQ_LO') THEN 'High' ELSE 'Low' END AS quality_group, CAST(coalesce(sum(tot),0) AS BIGINT) AS reads FROM dense JOIN quality USING (cell) GROUP BY cell, color"),
     "patterns": (["picked"], "SELECT cell, coalesce(string_agg(amplicon, ',' ORDER BY amplicon) FILTER (mod <> 0), '') AS pattern FROM picked GROUP BY cell"),
