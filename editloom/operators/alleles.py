@@ -153,7 +153,7 @@ def _with_calls(cells: DataFrame, params: CallParams, ploidies: DataFrame | None
     best, score = None, None
     for i in range(1, most + 1):
         cells = cells.withColumn(f"_r{i}", F.slice("alleles", 1, i))
-        for _ in range(most - 1):
+        for _ in range(most - i):  # cells with fewer than i alleles are not compared at i: it would be their last call again
             cells = cells.withColumn(f"_r{i}", F.when(F.size(f"_r{i}") < k, split(F.col(f"_r{i}"))).otherwise(F.col(f"_r{i}")))
         noise = total(F.col("alleles")) - total(F.slice("alleles", 1, i))
         each = F.log(F.lit(1 - params.noise) / k)
@@ -162,7 +162,7 @@ def _with_calls(cells: DataFrame, params: CallParams, ploidies: DataFrame | None
         if best is None:
             best, score = F.col("_r1"), F.col("_s1")
         else:
-            better = (k >= i) & (F.col(f"_s{i}") > score + NEAR)
+            better = (k >= i) & (F.size("alleles") >= i) & (F.col(f"_s{i}") > score + NEAR)
             best, score = F.when(better, F.col(f"_r{i}")).otherwise(best), F.when(better, F.col(f"_s{i}")).otherwise(score)
     return cells.withColumn("called", best).drop("_k", *[f"_{c}{i}" for c in "rs" for i in range(1, most + 1)])
 
