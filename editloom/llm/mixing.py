@@ -3,7 +3,8 @@
 Each source's documents, shuffled by a hash, are a stream of words cut into blocks of equal word counts. Slot i of the
 schedule belongs to the source in whose share of the cumulative weights the point frac(i * golden ratio) lies, so any
 stretch of the schedule is near the target weights. The r-th slot of a source takes its block r modulo its number of
-blocks; the slots are joined with the blocks' parts of documents. No text moves, only keys and sizes.
+blocks; the slots are joined with the blocks' parts of documents. No text moves, only keys and sizes. The mix depends on the
+documents' keys, sources and sizes alone, not on how the session splits or shuffles them.
 """
 
 from __future__ import annotations
@@ -71,7 +72,8 @@ class Mixture:
         buckets, total = bucket_count(spark), round(upto)
         hashed = F.xxhash64(F.lit(seed), "key", "size")
         docs = docs.withColumn("h", hashed).join(F.broadcast(self.sources), docs["source"].eqNullSafe(self.sources["source"])).drop(self.sources["source"])
-        docs = docs.withColumn("bucket", F.pmod(F.shiftright("h", 20), F.lit(buckets)).cast("int"))
+        # A stretch of the hash's values: documents are in the order of h, however many buckets there are.
+        docs = docs.withColumn("bucket", F.shiftright((F.shiftright("h", 33) + F.lit(1 << 30)) * F.lit(buckets), 31).cast("int"))
         order = ["h", "key", "size"]
         docs = docs.withColumn("n", F.row_number().over(Window.partitionBy("s", "bucket").orderBy(*order)))
         docs = with_running_total(docs, ["s"], "bucket", order, "size", "start")

@@ -13,15 +13,14 @@ from editloom.llm import mixing
 from . import brute
 
 
-def order_of(key, size, buckets, seed=42):
+def order_of(key, size, seed=42):
     h = xxh64_intdigest(seed.to_bytes(4, "little"), 42)
     for v in (key, size):
         h = xxh64_intdigest(int(v).to_bytes(8, "little", signed=True), h)
-    h = h - 2**64 if h >= 2**63 else h
-    return (h >> 20) % buckets, h, key, size
+    return h - 2**64 if h >= 2**63 else h, key, size
 
 
-def plain_mix(docs, slots, buckets):
+def plain_mix(docs, slots):
     """{key: words taken} for docs (key, source, text)."""
     by_source: dict = defaultdict(list)
     for key, source, text in docs:
@@ -48,17 +47,30 @@ def plain_mix(docs, slots, buckets):
     taken = {}
     for s, name in enumerate(names):
         start = 0
-        for key, n in sorted(by_source[name], key=lambda d: order_of(*d, buckets)):
+        for key, n in sorted(by_source[name], key=lambda d: order_of(*d)):
             taken[key] = sum(times[s][w // lengths[s]] for w in range(start, start + n))
             start += n
     return taken
 
 
+SOURCES = ["a", "b", None, "é", "Z"]
+DOCS = [(i, SOURCES[min(4, i * i % 7)], "w " * (i * 37 % 90) if i % 11 else None) for i in range(300)] + [(1000, "huge", "x " * 5000), (1001, "none", "")]
+
+
 @pytest.mark.parametrize("slots", [100, 1 << 18])
 def test_taken_words_are_those_of_the_plain_schedule(spark, slots):
-    sources = ["a", "b", None, "é", "Z"]
-    docs = [(i, sources[min(4, i * i % 7)], "w " * (i * 37 % 90) if i % 11 else None) for i in range(300)] + [(1000, "huge", "x " * 5000), (1001, "none", "")]
-    df = spark.createDataFrame(docs, "doc_id long, source string, text string")
-    buckets = max(16, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    df = spark.createDataFrame(DOCS, "doc_id long, source string, text string")
     got = {r["doc_id"]: r["taken"] for r in mixing.Mixture(df, slots=slots).taken().collect()}
-    assert got == plain_mix(docs, slots, buckets)
+    assert got == plain_mix(DOCS, slots)
+
+
+def test_reruns_agree_under_any_setting(spark):
+    df = spark.createDataFrame(DOCS, "doc_id long, source string, text string")
+    expected, before = plain_mix(DOCS, 1 << 18), spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for partitions in ("4", "8", "200"):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            got = {r["doc_id"]: r["taken"] for r in mixing.Mixture(df.repartition(int(partitions) % 7 + 1)).taken().collect()}
+            assert got == expected
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
