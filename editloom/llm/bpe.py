@@ -5,6 +5,11 @@ leftmost pair of lowest rank. Merging it changes two neighbouring leaves and rem
 paths to the root, until the root says that no pair can be merged. The trees of many words are rows of the same numpy
 arrays and merge in step; few words, like a single huge one, are merged one by one. Words repeat, so encoded words are
 kept in a bounded cache of each Python worker.
+
+Texts are cut into words by Python's Unicode tables where those are known to agree with the tokenizers library's: all
+characters of the text are in CHECKED, which a test compares with the library, code point by code point. Other texts
+(rare marks, scripts and characters that only one of the tables knows) are cut by the library's own normalizer and
+pre-tokenizer; merging is the same for all.
 """
 
 from __future__ import annotations
@@ -23,6 +28,11 @@ from pyspark.sql import functions as F
 
 from .byte_bpe import byte_characters
 
+#: Ranges of code points on which unicodedata, regex and the library's own tables cut alike, alone and beside the marks among them.
+CHECKED = ((0x0000, 0x0482), (0x048A, 0x0557), (0x05D0, 0x05EA), (0x0620, 0x064A), (0x0660, 0x066F), (0x1E00, 0x208E), (0x20A0, 0x20C0), (0x2100, 0x2BFF),
+           (0x3000, 0x3029), (0x3030, 0x3096), (0x309B, 0xA48C), (0xAC00, 0xD7A3), (0xF900, 0xFAFF), (0xFF01, 0xFFEF), (0x1F000, 0x1FAFF), (0x20000, 0x2B738))
+_OTHERS = re.compile("[^" + "".join(f"{chr(a)}-{chr(z)}" for a, z in CHECKED).replace("\\", r"\\") + "]")
+
 NO_PAIR = 2**62
 FEW = 16  # a step of numpy's calls costs about as much as a merge in each of so many single trees
 
@@ -44,6 +54,7 @@ class SegmentTreeBpe:
         added = {t["content"]: t["id"] for t in stated["added_tokens"]}
         # White space is never part of a match, so replacing it by single spaces changes nothing.
         self.words = regex.compile(split["pattern"]["Regex"])
+        self.file, self.library = tokenizer_file, None
         self.special = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
         self.added = {k: np.array([v], "<u4").tobytes() for k, v in added.items()}
         self.tokens = [""] * (1 + max([*vocab.values(), *added.values()]))
@@ -170,8 +181,20 @@ class SegmentTreeBpe:
                 self.recent.update(zip(part, self._merge(raw, size) if len(part) > FEW else [self._merge_one(w, size) for w in raw], strict=True))
 
     def _cut(self, text: str) -> list[str]:
-        normal = text if text.isascii() else unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        return self.words.findall(normal.lower())
+        if text.isascii():
+            return self.words.findall(text.lower())
+        if _OTHERS.search(text):
+            return self._cut_by_library(text)
+        return self.words.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
+
+    def _cut_by_library(self, text: str) -> list[str]:
+        if self.library is None:
+            from tokenizers import Tokenizer
+
+            self.library = Tokenizer.from_file(self.file)
+            self.byte_of = {ord(c): b for b, c in enumerate(byte_characters())}
+        words = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
+        return [word.translate(self.byte_of).encode("latin-1").decode() for word, _ in words]
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; added tokens inside a text count as themselves."""
