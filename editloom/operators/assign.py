@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.sequence import alignment_end, reverse_complement
 from ..params import AssignParams
+from .lookups import position_windows, primer_lookup_of
 
 CALLS = ("amp1", "amp2", "amp1_aln", "amp2_aln")
 
@@ -49,6 +50,27 @@ def depth_census(depth: DataFrame, params: AssignParams = AssignParams()) -> Dat
     return depth.agg(F.count_if(~enough).alias("failing_cells"), F.count_if(enough).alias("passing_cells"))
 
 
+def primers_seen(pairs: DataFrame) -> DataFrame:
+    """(key): the different primers of pairs, null left out."""
+    return pairs.select(F.explode(F.array("primer1", "primer2")).alias("key")).where("key IS NOT NULL").distinct()
+
+
+def places_seen(pairs: DataFrame) -> DataFrame:
+    """(side, chr, pos): the different places of pairs that a window could hold, null left out."""
+    sides = F.array(*[F.struct(F.lit(i).alias("side"), F.col(f"chr{i}").alias("chr"), F.col(f"pos{i}").alias("pos")) for i in (1, 2)])
+    return pairs.select(F.explode(sides).alias("s")).select("s.*").where("chr IS NOT NULL AND pos IS NOT NULL").distinct()
+
+
+def calls(pairs: DataFrame, amplicons: DataFrame, params: AssignParams = AssignParams()) -> DataFrame:
+    """Pairs with all four calls. Lookups hold what the pairs show, so their size follows the reads, not the variants of the panel;
+
+    they are shuffled unless Spark, which then knows how large they are, finds them small enough to broadcast. Pairs are
+    read once for their primers, once for their places and once for the calls: they should come from a table.
+    """
+    named = primer_calls(pairs, primer_lookup_of(primers_seen(pairs), amplicons, params))
+    return position_calls(named, position_windows(amplicons, params, places_seen(pairs)))
+
+
 def primer_calls(pairs: DataFrame, primers: DataFrame) -> DataFrame:
     """Adds amp1 and amp2: what the lookup (key, value) has for primer1 and primer2, or null."""
     a, b = primers.select(F.col("key").alias("primer1"), F.col("value").alias("amp1")), primers.select(F.col("key").alias("primer2"), F.col("value").alias("amp2"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.sequence import first_token, reverse_complement, safe_pct
 from ..params import DemuxParams
+from .lookups import barcode_lookup_of
 
 
 def locate(pairs: DataFrame, params: DemuxParams = DemuxParams()) -> DataFrame:
@@ -18,10 +19,7 @@ def locate(pairs: DataFrame, params: DemuxParams = DemuxParams()) -> DataFrame:
 
 
 def correct_barcodes(located: DataFrame, lookup: DataFrame) -> DataFrame:
-    """Adds cell (null unless both halves are in the lookup) and corrected (the cell differs from what was read).
-
-    The lookup holds a few variants of each whitelisted barcode; the planner broadcasts it if its size allows.
-    """
+    """Adds cell (null unless both halves are in the lookup) and corrected (the cell differs from what was read)."""
     a = lookup.select(F.col("key").alias("part1"), F.col("value").alias("_v1"))
     b = lookup.select(F.col("key").alias("part2"), F.col("value").alias("_v2"))
     joined = located.join(a, "part1", "left").join(b, "part2", "left")
@@ -29,9 +27,19 @@ def correct_barcodes(located: DataFrame, lookup: DataFrame) -> DataFrame:
     return joined.withColumn("cell", cell).withColumn("corrected", cell != F.concat("part1", "part2")).drop("_v1", "_v2")
 
 
-def flag_pairs(pairs: DataFrame, lookup: DataFrame, params: DemuxParams = DemuxParams()) -> DataFrame:
-    """Adds the funnel's steps as cumulative booleans: has_c1, has_c2, valid, long_enough, clean; and rest1, seq1 after constant2."""
-    df = correct_barcodes(locate(pairs, params), lookup)
+def halves_seen(located: DataFrame) -> DataFrame:
+    """(key): the different barcode halves of pairs."""
+    return located.select(F.explode(F.array("part1", "part2")).alias("key")).where("key IS NOT NULL").distinct()
+
+
+def flag_pairs(pairs: DataFrame, barcodes: DataFrame, params: DemuxParams = DemuxParams()) -> DataFrame:
+    """Adds the funnel's steps as cumulative booleans: has_c1, has_c2, valid, long_enough, clean; and rest1, seq1 after constant2.
+
+    barcodes is the whitelist (ordinal, barcode). Its variants are looked up for the halves that the pairs show; pairs
+    are read twice, so they should come from a table.
+    """
+    located = locate(pairs, params)
+    df = correct_barcodes(located, barcode_lookup_of(halves_seen(located), barcodes, params.barcode_mismatches))
     rest = F.col("c2") + len(params.constant2) + 1
     df = df.withColumn("rest1", F.substring(F.col("seq1"), rest, F.length("seq1"))).withColumn("rest_qual1", F.substring(F.col("qual1"), rest, F.length("seq1")))
     has_c1 = F.col("c1") >= 0

@@ -3,6 +3,10 @@
 Exact entries (E) always write. A variant entry (V) whose key is there already deletes the key and bars it from
 variants; later exact entries still write. In closed form: order the entries of a key; let c be the first V that is not
 the key's first entry. Without c the last entry holds; else the last E after c, or none.
+
+A whole lookup has a row for each variant: 83 for a primer of 18 bases. Jobs need only the keys that their reads show.
+`entries_of_keys` finds those keys' entries by seeds, six rows a primer: a key with one substitution keeps two of its
+three thirds, a shifted one all but its last or first base. The rule then decides among the same entries as before.
 """
 
 from __future__ import annotations
@@ -64,6 +68,77 @@ def primer_entries(amplicons: DataFrame, params: AssignParams = AssignParams())
     return exact.unionByName(variants.select(F.col("v.ord").alias("ord"), F.col("v.key").alias("key"), F.col("amplicon").alias("value"), F.lit("V").alias("kind")))
 
 
+#: Kinds of seeds: the whole key; the key without one of its thirds; a key that starts, or ends, with another base.
+_WHOLE, _PARTS, _RIGHT, _LEFT = 0, 3, 4, 5
+
+
+def _third(key: Column, i: int) -> tuple[Column, Column]:
+    """(places before, length) of a key's i-th third."""
+    n = F.length(key)
+    start = F.floor(n * i / _PARTS).cast("int")
+    return start, F.floor(n * (i + 1) / _PARTS).cast("int") - start
+
+
+def _without_third(key: Column, i: int) -> Column:
+    start, length = _third(key, i)
+    return F.concat(F.length(key).cast("string"), F.lit(":"), F.substring(key, F.lit(1), start), F.lit("|"), F.substring(key, start + length + 1, F.length(key)))
+
+
+def _seeds(key: Column, substitutions: bool, right: Column | None, left: Column | None) -> Column:
+    found = [(_WHOLE, key)]
+    if substitutions:
+        found += [(i + 1, _without_third(key, i)) for i in range(_PARTS)]
+    if right is not None:
+        found += [(_RIGHT, right), (_LEFT, left)]
+    return F.explode(F.array(*[F.struct(F.lit(kind).alias("kind"), seed.alias("seed")) for kind, seed in found]))
+
+
+def entries_of_keys(keys: DataFrame, named: DataFrame, substitutions: bool = True, shifts: bool = False) -> DataFrame:
+    """(ord, key, value, kind) of all entries whose key is one of keys (key, distinct): exact ones and variants of named (base, name_key, value).
+
+    Both sides are joined by seeds; of what meets, only pairs one substitution or shift apart remain. Keys of null have none.
+    """
+    q, p = F.col("key"), F.col("name_key")
+    but_first, but_last = (lambda x: F.substring(x, F.lit(2), F.length(x))), (lambda x: F.substring(x, F.lit(1), F.length(x) - 1))
+    seen = keys.where("key IS NOT NULL").select("key", _seeds(q, substitutions, but_first(q) if shifts else None, but_last(q) if shifts else None).alias("s"))
+    known = named.select("base", "name_key", "value", _seeds(p, substitutions, but_last(p) if shifts else None, but_first(p) if shifts else None).alias("s"))
+    # Spark's estimate of either side does not see that it was exploded, so without the hint it would broadcast large ones too.
+    met = seen.select("key", "s.kind", "s.seed").join(known.select("base", "name_key", "value", "s.kind", "s.seed").hint("merge"), ["kind", "seed"])
+
+    bases = F.array(*map(F.lit, BASES))
+    base_at = lambda place: F.array_position(bases, F.substring(q, place, F.lit(1))) - 1  # noqa: E731  under 0: another letter
+
+    def substituted(i: int) -> Column:
+        start, length = _third(p, i)
+        places = F.filter(F.sequence(F.lit(1), length), lambda j: F.substring(p, start + j, F.lit(1)) != F.substring(q, start + j, F.lit(1)))
+        places = F.when(length > 0, places)
+        place = start + F.get(places, F.lit(0))
+        return F.when((F.size(places) == 1) & (base_at(place) >= 0), F.lit(1) + (place - 1) * len(BASES) + base_at(place))
+
+    kind = F.col("kind")
+    offset = F.when(kind == _WHOLE, F.lit(0).cast("long"))
+    for i in range(_PARTS):
+        offset = offset.when(kind == i + 1, substituted(i).cast("long"))
+    offset = offset.when((kind == _RIGHT) & (F.length(q) > 0) & (base_at(F.lit(1)) >= 0), (9_000 + base_at(F.lit(1))).cast("long"))
+    last = base_at(F.length(q))
+    offset = offset.when((kind == _LEFT) & (F.length(q) > 0) & (last >= 0), (9_000 + len(BASES) + last).cast("long"))
+    found = met.withColumn("offset", offset).where("offset IS NOT NULL")
+    return found.select((F.col("base") + F.col("offset")).alias("ord"), "key", "value", F.when(kind == _WHOLE, "E").otherwise("V").alias("kind"))
+
+
+def barcode_lookup_of(keys: DataFrame, barcodes: DataFrame, mismatches: bool = True) -> DataFrame:
+    """The rows of barcode_lookup for keys (key, distinct)."""
+    named = barcodes.select((F.col("ordinal").cast("long") * 10_000).alias("base"), F.col("barcode").alias("name_key"), F.col("barcode").alias("value"))
+    return resolve(entries_of_keys(keys, named, substitutions=mismatches))
+
+
+def primer_lookup_of(keys: DataFrame, amplicons: DataFrame, params: AssignParams = AssignParams()) -> DataFrame:
+    """The rows of primer_lookup for keys (key, distinct)."""
+    ends = primer_ends(amplicons, params.primer_length)
+    named = ends.select(((F.col("ordinal").cast("long") * 4 + F.col("end_no")) * 10_000).alias("base"), F.col("primer").alias("name_key"), F.col("amplicon").alias("value"))
+    return resolve(entries_of_keys(keys, named, params.off_by_one, params.off_by_one))
+
+
 def with_conflicts(entries: DataFrame) -> DataFrame:
     """Adds nth (place among the entries of the key) and conflict (ord of the first V that is not the first entry, or null)."""
     by_key = Window.partitionBy("key")
@@ -94,17 +169,20 @@ def lookup_counts(entries: DataFrame) -> DataFrame:
     return counted.crossJoin(resolve(entries).agg(F.count("*").alias("keys")))  # one row by one row
 
 
-def position_windows(amplicons: DataFrame, params: AssignParams = AssignParams()) -> DataFrame:
+def position_windows(amplicons: DataFrame, params: AssignParams = AssignParams(), places: DataFrame | None = None) -> DataFrame:
     """(side, chr, pos, amplicon): positions within the window of an amplicon's start (side 1) and exclusive end (side 2).
 
-    Later amplicons overwrite earlier ones.
+    Later amplicons overwrite earlier ones. With places (side, chr, pos, distinct), only those of them.
     """
     w = params.window
     at = F.explode(F.sequence(F.lit(-w), F.lit(w)))
     sides = amplicons.select("ordinal", "amplicon", "chr", "start", "end", at.alias("d"))
     sides = sides.select("ordinal", "amplicon", "chr", F.explode(F.array(
         F.struct(F.lit(1).alias("side"), (F.col("start") + F.col("d")).alias("pos")), F.struct(F.lit(2).alias("side"), (F.col("end") + F.col("d")).alias("pos")))).alias("s"))
-    return sides.groupBy(F.col("s.side").alias("side"), "chr", F.col("s.pos").alias("pos")).agg(F.max_by("amplicon", "ordinal").alias("amplicon"))
+    sides = sides.select("ordinal", "amplicon", F.col("s.side").alias("side"), "chr", F.col("s.pos").alias("pos"))
+    if places is not None:
+        sides = sides.hint("merge").join(places, ["side", "chr", "pos"])
+    return sides.groupBy("side", "chr", "pos").agg(F.max_by("amplicon", "ordinal").alias("amplicon"))
 
 
 def duplicate_locations(amplicons: DataFrame, params: AssignParams = AssignParams()) -> DataFrame:

@@ -20,7 +20,7 @@ def located(t: Fixtures):
 
 
 def flagged(t: Fixtures):
-    return demux.flag_pairs(t.table("read_pairs"), lookups.barcode_lookup(t.table("barcodes")))
+    return demux.flag_pairs(t.table("read_pairs"), t.table("barcodes"))
 
 
 def depth(t: Fixtures):
@@ -28,9 +28,7 @@ def depth(t: Fixtures):
 
 
 def calls(t: Fixtures):
-    amplicons = t.amplicons()
-    named = assign.primer_calls(t.table("aligned_pairs"), lookups.primer_lookup(amplicons))
-    return assign.position_calls(named, lookups.position_windows(amplicons))
+    return assign.calls(t.table("aligned_pairs"), t.amplicons())
 
 
 def strict(t: Fixtures):
@@ -267,12 +265,14 @@ def mapped_pairs_flag(t):
 
 @query("primer_calls", oracle("SELECT qname, amp1, amp2 FROM calls", "calls"))
 def primer_calls(t):
-    return assign.primer_calls(t.table("aligned_pairs"), lookups.primer_lookup(t.amplicons())).select("qname", "amp1", "amp2")
+    pairs = t.table("aligned_pairs")
+    return assign.primer_calls(pairs, lookups.primer_lookup_of(assign.primers_seen(pairs), t.amplicons())).select("qname", "amp1", "amp2")
 
 
 @query("position_calls", oracle("SELECT qname, amp1_aln, amp2_aln FROM calls", "calls"))
 def position_calls(t):
-    return assign.position_calls(t.table("aligned_pairs"), lookups.position_windows(t.amplicons())).select("qname", "amp1_aln", "amp2_aln")
+    pairs = t.table("aligned_pairs")
+    return assign.position_calls(pairs, lookups.position_windows(t.amplicons(), places=assign.places_seen(pairs))).select("qname", "amp1_aln", "amp2_aln")
 
 
 @query("assign_strict", oracle("SELECT qname, cell, amplicon, rescued FROM strict", "strict"))

@@ -67,12 +67,12 @@ def test_funnel_percentages(spark):
 
 def test_demultiplexing_by_hand(spark):
     p = DemuxParams()
-    lookup = spark.createDataFrame([("AAAAAAAAA", "AAAAAAAAA"), ("NAAAAAAAA", "AAAAAAAAA"), ("CCCCCCCCC", "CCCCCCCCC")], "key string, value string")
+    barcodes = spark.createDataFrame([(0, "AAAAAAAAA"), (1, "CCCCCCCCC")], "ordinal int, barcode string")
     rest = "ACGTACGTACGTACGTACGTAC"
     seqs = ["AAAAAAAAA" + "AC" + p.constant1 + "CCCCCCCCC" + p.constant2 + rest, "NAAAAAAAA" + p.constant1 + "CCCCCCCCC" + p.constant2 + rest, "AAAAAAAAA" + p.constant1 + "CCCCCCCCC" + p.constant2 + rest[:19],
             "AAAAAAAAA" + p.constant1 + "CCCCCCCCC" + p.constant2 + rest + p.adapter, "AAAAAAAAA" + p.constant1 + "GGGGGGGGG" + p.constant2 + rest, "AAAA", None]
     pairs = spark.createDataFrame([(f"r{i} x", s, "I" * len(s or ""), "ACGT", "IIII") for i, s in enumerate(seqs)], "name string, seq1 string, qual1 string, seq2 string, qual2 string")
-    flagged = demux.flag_pairs(pairs, lookup)
+    flagged = demux.flag_pairs(pairs, barcodes)
     assert tuple(demux.parse_funnel(flagged).first()) == (7, 5, 5, 4, 1, 3, 2)
     assert sorted((r["read_id"], r["cell"], r["seq1"]) for r in demux.tag_reads(flagged).collect()) == [("r0", "AAAAAAAAACCCCCCCCC", rest), ("r1", "AAAAAAAAACCCCCCCCC", rest)]
 
