@@ -311,20 +311,25 @@ def parse_na_number(t):
 # Quality
 
 
-@query("filter_min_reads_all_amplicons", oracle("SELECT cell FROM dense WHERE raw_tot IS NOT NULL GROUP BY cell HAVING min(raw_tot) >= 3", "dense"))
+#: The panel's last amplicon has an empty summary and so no reads in any cell: no cell would pass a gate with it.
+_WITH_READS = f"amplicon <> '{NAMES[-1]}'"
+
+
+@query("filter_min_reads_all_amplicons", oracle(f"SELECT cell FROM dense WHERE raw_tot IS NOT NULL AND {_WITH_READS} GROUP BY cell HAVING min(raw_tot) >= 1", "dense"))
 def filter_min_reads_all_amplicons(t):
-    return summary.depth_mask(dense(t), _deep()).where("keep").select("cell")
+    """About half of the cells have a read at every amplicon that has any."""
+    return summary.depth_mask(dense(t).where(_WITH_READS), _deep()).where("keep").select("cell")
 
 
 def _deep():
     from dataclasses import replace
 
-    return replace(QUALITY, min_reads_per_amplicon=3)
+    return replace(QUALITY, min_reads_per_amplicon=1)
 
 
-@query("depth_gate_count", oracle("SELECT count(*) FILTER (m < 3) AS failing_cells FROM (SELECT min(raw_tot) AS m FROM dense WHERE raw_tot IS NOT NULL GROUP BY cell) q", "dense"))
+@query("depth_gate_count", oracle(f"SELECT count(*) FILTER (m < 1) AS failing_cells FROM (SELECT min(raw_tot) AS m FROM dense WHERE raw_tot IS NOT NULL AND {_WITH_READS} GROUP BY cell) q", "dense"))
 def depth_gate_count(t):
-    return summary.depth_gate_count(dense(t), _deep())
+    return summary.depth_gate_count(dense(t).where(_WITH_READS), _deep())
 
 
 @query("amplicon_percentiles", oracle("SELECT amplicon, q0, q1, q2, q3 FROM quant", "quant"))
@@ -353,11 +358,11 @@ def quality_class(t):
     return quality(t)
 
 
-@query("filter_min_total_reads", oracle("SELECT cell, read_count, barcode_rank, color FROM quality WHERE read_count >= 150", "quality"))
+@query("filter_min_total_reads", oracle("SELECT cell, read_count, barcode_rank, color FROM quality WHERE read_count >= 35", "quality"))
 def filter_min_total_reads(t):
     from dataclasses import replace
 
-    return summary.cell_quality(dense(t), replace(QUALITY, min_total_reads=150)).select("cell", "read_count", "barcode_rank", "color")
+    return summary.cell_quality(dense(t), replace(QUALITY, min_total_reads=35)).select("cell", "read_count", "barcode_rank", "color")
 
 
 @query("quality_class_counts", oracle("SELECT color, count(*) AS cells FROM quality GROUP BY color", "quality"))
@@ -499,7 +504,7 @@ def layer_table(t):
 def obs_table(t):
     from dataclasses import replace
 
-    return export.obs_table(dense(t), summary.cell_quality(dense(t), replace(QUALITY, min_total_reads=150)))
+    return export.obs_table(dense(t), summary.cell_quality(dense(t), replace(QUALITY, min_total_reads=35)))
 
 
 @query("var_metadata", oracle("SELECT amplicon, chr, start_pos, end_pos FROM (SELECT DISTINCT amplicon FROM dense) d LEFT JOIN amplicons USING (amplicon)", "dense"))

@@ -38,7 +38,8 @@ def scan_barcode_whitelist(t):
 @query("scan_amplicons", oracle("SELECT ordinal, amplicon, sequence, sequence AS amp_seqs, CASE WHEN ordinal % 2 = 0 THEN substr(sequence, 20, 20) ELSE '' END AS guide, CASE WHEN ordinal % 4 = 0 THEN '2,1' ELSE '2' END AS ref_allele_counts FROM amplicons", "amplicons"))
 def scan_amplicons(t):
     path = path_of(t, "amplicons")
-    guide = F.when(F.col("ordinal") % 4 == 0, F.concat(F.lit("\t"), F.substring("sequence", 20, 20), F.lit("\t2,1"))).when(F.col("ordinal") % 2 == 0, F.concat(F.lit("\t"), F.substring("sequence", 20, 20))).otherwise("")
+    guide = F.when(F.col("ordinal") % 4 == 0, F.concat(F.lit("\t"), F.substring("sequence", 20, 20), F.lit("\t2,1"))).when(
+        F.col("ordinal") % 2 == 0, F.concat(F.lit("\t"), F.substring("sequence", 20, 20))).when(F.col("ordinal") % 4 == 1, "\t\tNA").otherwise("")
     t.amplicons().coalesce(1).sortWithinPartitions("ordinal").select(F.concat("amplicon", F.lit("\t"), "sequence", guide)).write.text(path)
     return text.amplicons(t.spark, path).select("ordinal", "amplicon", "sequence", F.array_join("amp_seqs", ",").alias("amp_seqs"), "guide", F.array_join(F.col("ref_allele_counts").cast("array<string>"), ",").alias("ref_allele_counts"))
 

@@ -15,11 +15,14 @@ def barcode_whitelist(spark: SparkSession, path: str) -> DataFrame:
 
 
 def amplicons(spark: SparkSession, path: str) -> DataFrame:
-    """(ordinal, amplicon, sequence, amp_seqs, guide, ref_allele_counts) from a headerless TSV of 2 to 4 columns."""
+    """(ordinal, amplicon, sequence, amp_seqs, guide, ref_allele_counts) from a headerless TSV of 2 to 4 columns.
+
+    A missing count, or one with NA in it, is 2; one that is no number otherwise is null.
+    """
     rows = barcode_whitelist(spark, path).where("barcode <> ''").select("ordinal", F.split("barcode", "\t").alias("f"))
     field = lambda i, d: F.coalesce(F.nullif(F.trim(F.get("f", F.lit(i))), F.lit("")), F.lit(d))
     return rows.select("ordinal", F.get("f", F.lit(0)).alias("amplicon"), F.get("f", F.lit(1)).alias("sequence"), F.split(F.get("f", F.lit(1)), ",").alias("amp_seqs"), field(2, "").alias("guide"),
-                       F.transform(F.split(field(3, "2"), ","), lambda x: x.cast("int")).alias("ref_allele_counts"))
+                       F.transform(F.split(F.when(field(3, "2").contains("NA"), "2").otherwise(field(3, "2")), ","), lambda x: F.trim(x).try_cast("int")).alias("ref_allele_counts"))
 
 
 def alternate_alleles(spark: SparkSession, path: str) -> DataFrame:

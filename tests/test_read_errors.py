@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import gzip
+import json
 import random
 
 import pyarrow as pa
@@ -11,8 +12,12 @@ from editloom.sources import fastq
 RECORD = "@id:9:CELL x\nACGT\n+\nIIII\n"
 
 
+def reader(*paths, **options):
+    return fastq.RecordReader({"paths": json.dumps(paths)} | options)
+
+
 def read(path):
-    return [b.num_rows for b in fastq.RecordReader({"paths": path}).read(fastq.OneFile(path))]
+    return [b.num_rows for b in reader(path).read(fastq.Files([path]))]
 
 
 def test_errors_of_files_fail_the_read(tmp_path):
@@ -44,18 +49,18 @@ def test_a_cut_stream_ends_with_a_warning(tmp_path):
     with pytest.warns(UserWarning, match="is cut"):
         read(f"file://{path}")
     with pytest.raises((EOFError, OSError)):
-        list(fastq.RecordReader({"paths": f"file://{path}", "cut_files": "false"}).read(fastq.OneFile(f"file://{path}")))
+        list(reader(f"file://{path}", cut_files="false").read(fastq.Files([f"file://{path}"])))
 
 
-def test_batches_number_on_and_lines_are_trimmed(tmp_path, monkeypatch):
+def test_batches_number_on_and_lines_are_trimmed(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(fastq, "BATCH", 3)
     for name, n in (("a", 8), ("b", 7)):
         (tmp_path / name).write_bytes(b"".join(b"@@r%d x\r\nAC\n+\nII\r\r\n" % i for i in range(n)) + b"@part\nA\n+\n")
     one, two = f"file://{tmp_path}/a", f"file://{tmp_path}/b"
-    got = [r for b in fastq.RecordReader({"paths": one}).read(fastq.OneFile(one)) for r in b.to_pylist()]
+    with pytest.warns(UserWarning, match="within record 8"):
+        got = [r for b in reader(one).read(fastq.Files([one])) for r in b.to_pylist()]
     assert [(r["ordinal"], r["name"], r["seq"], r["plus"], r["qual"]) for r in got] == [(i, f"@r{i} x", "AC", "+", "II") for i in range(8)]
-    reader = fastq.PairReader({"r1": one, "r2": two})
-    assert [r["ordinal"] for p in reader.partitions() for b in reader.read(p) for r in b.to_pylist()] == list(range(7))
+    assert [r["ordinal"] for r in fastq.read_pairs(spark, [one], [two]).orderBy("ordinal").collect()] == list(range(7))
     (tmp_path / "none").write_bytes(b"")
     assert read(f"file://{tmp_path}/none") == []
 
@@ -73,7 +78,7 @@ def test_missing_files_are_refused_before_any_task(tmp_path):
     (tmp_path / "a.fastq").write_text(RECORD)
     there, missing = f"file://{tmp_path}/a.fastq", f"file://{tmp_path}/b.fastq"
     with pytest.raises(FileNotFoundError, match="b.fastq"):
-        fastq.PairReader({"r1": there, "r2": missing}).partitions()
+        fastq._checked_lanes([there], [missing])
     with pytest.raises(FileNotFoundError, match="b.fastq"):
-        fastq.RecordReader({"paths": f"{there},{missing}"}).partitions()
-    assert len(fastq.RecordReader({"paths": there}).partitions()) == 1
+        reader(there, missing).partitions()
+    assert len(reader(there).partitions()) == 1

@@ -20,10 +20,11 @@ def test_pairs_stop_at_the_shorter_file(spark, tmp_path):
     assert [tuple(r) for r in got] == [(0, 0, "r1 x", "ACGT", "IIII", "GG", "FF")]
 
 
-@pytest.mark.parametrize("r1, r2", [("a,b", "c"), ("a,b", "b,c")])
-def test_lanes_must_pair_up(spark, r1, r2):
-    with pytest.raises(ValueError):
-        fastq.PairReader({"r1": r1, "r2": r2})
+def test_lanes_must_pair_up(tmp_path):
+    a, b, c = (write(tmp_path / name, "") for name in "abc")
+    for r1, r2 in (([a, b], [c]), ([a, b], [b, c]), (f"file://{tmp_path}/[ab]", [c])):
+        with pytest.raises(ValueError):
+            fastq._checked_lanes(r1, r2)
 
 
 def test_annotated_and_truncated_records(spark, tmp_path):
@@ -44,8 +45,8 @@ def test_annotated_and_truncated_records(spark, tmp_path):
 
 def test_text_tables(spark, tmp_path):
     assert [tuple(r) for r in text.barcode_whitelist(spark, write(tmp_path / "w.txt", "CC \nAA\n")).orderBy("ordinal").collect()] == [(0, "CC"), (1, "AA")]
-    amps = text.amplicons(spark, write(tmp_path / "a.txt", "one\tACGT,ACGG\tGG\t2,1\ntwo\tTTTT\n")).orderBy("ordinal").collect()
-    assert [(r["amplicon"], r["amp_seqs"], r["guide"], r["ref_allele_counts"]) for r in amps] == [("one", ["ACGT", "ACGG"], "GG", [2, 1]), ("two", ["TTTT"], "", [2])]
+    amps = text.amplicons(spark, write(tmp_path / "a.txt", "one\tACGT,ACGG\tGG\t2,1\ntwo\tTTTT\nthree\tTT\t\tNA\nfour\tTT\t\t1,x\n")).orderBy("ordinal").collect()
+    assert [(r["amplicon"], r["amp_seqs"], r["guide"], r["ref_allele_counts"]) for r in amps] == [("one", ["ACGT", "ACGG"], "GG", [2, 1]), ("two", ["TTTT"], "", [2]), ("three", ["TT"], "", [2]), ("four", ["TT"], "", [1, None])]
     alts = text.alternate_alleles(spark, write(tmp_path / "alt.txt", "amplicon\tlabel\tseqs\none\tx\tAA,CC\n")).collect()
     assert [tuple(r) for r in alts] == [("one", ["AA", "CC"])]
     sam = text.alignments(spark, write(tmp_path / "x.sam", "@HD\tVN:1\nr1\t64\tchr1\t11\t40\t4M\t*\t0\t0\tACGT\tIIII\n\n")).collect()
