@@ -141,8 +141,13 @@ def call_combinations(assigned: DataFrame) -> DataFrame:
     return assigned.groupBy(F.col("amplicon").isNotNull().alias("valid"), *CALLS).agg(F.count("*").alias("pair_count"))
 
 
+def split_counters() -> dict[str, Column]:
+    """The counters of strictly assigned pairs."""
+    reason = F.when(F.col("amplicon").isNull(), reject_reason_strict())
+    return {"total": F.count(F.lit(1)), "aligned": F.count_if(mapped_pair()), "identified": F.count_if(F.col("amplicon").isNotNull()), "rescued": F.count_if("rescued"),
+            **{r.replace(" ", "_"): F.count_if(reason == r) for r in ("chimeric", "other location", "unidentified")}}
+
+
 def split_totals(assigned: DataFrame) -> DataFrame:
     """One row of totals of strict assignment."""
-    reason = F.when(F.col("amplicon").isNull(), reject_reason_strict())
-    return assigned.agg(F.count("*").alias("total"), F.count_if(mapped_pair()).alias("aligned"), F.count_if(F.col("amplicon").isNotNull()).alias("identified"), F.count_if("rescued").alias("rescued"),
-                        *[F.count_if(reason == r).alias(r.replace(" ", "_")) for r in ("chimeric", "other location", "unidentified")])
+    return assigned.agg(*[c.alias(name) for name, c in split_counters().items()])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sequence import first_token, reverse_complement, safe_pct
@@ -57,10 +57,15 @@ def tag_reads(flagged: DataFrame) -> DataFrame:
     return flagged.where("clean").select(first_token(F.col("name")).alias("read_id"), "cell", F.col("rest1").alias("seq1"), F.col("rest_qual1").alias("qual1"), "seq2", "qual2")
 
 
+def funnel_counters() -> dict[str, Column]:
+    """The nested counters of flagged pairs."""
+    return {"total": F.count(F.lit(1)), "constant1": F.count_if("has_c1"), "constant2": F.count_if("has_c2"), "valid_barcode": F.count_if("valid"),
+            "error_corrected": F.count_if(F.col("valid") & F.col("corrected")), "long_enough": F.count_if("long_enough"), "no_adapter": F.count_if("clean")}
+
+
 def parse_funnel(flagged: DataFrame) -> DataFrame:
     """One row of nested counters."""
-    return flagged.agg(F.count("*").alias("total"), F.count_if("has_c1").alias("constant1"), F.count_if("has_c2").alias("constant2"), F.count_if("valid").alias("valid_barcode"),
-                       F.count_if(F.col("valid") & F.col("corrected")).alias("error_corrected"), F.count_if("long_enough").alias("long_enough"), F.count_if("clean").alias("no_adapter"))
+    return flagged.agg(*[c.alias(name) for name, c in funnel_counters().items()])
 
 
 def parse_funnel_pct(flagged: DataFrame) -> DataFrame:

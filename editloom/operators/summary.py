@@ -50,11 +50,39 @@ def wide(dense: DataFrame, amplicons: list[str], tot: str = "tot", mod: str = "m
     return pivoted.select("cell", *names)
 
 
-def unpivot_wide(table: DataFrame) -> DataFrame:
-    """Wide totCount.X, modPct.X columns back to (cell, amplicon, tot, mod)."""
-    names = amplicon_names(table.columns)
-    each = F.array(*[F.struct(F.lit(a).alias("amplicon"), F.col(f"`totCount.{a}`").cast("long").alias("tot"), F.col(f"`modPct.{a}`").cast("double").alias("mod")) for a in names])
-    return table.select("cell", F.explode(each).alias("x")).select("cell", "x.*")
+def wide_header(amplicons: list[str]) -> str:
+    return "\t".join(["cell", *(f"{k}.{a}" for a in amplicons for k in ("totCount", "modPct"))])
+
+
+def wide_lines(dense: DataFrame, amplicons: list[str], tot: str = "tot", mod: str = "mod") -> DataFrame:
+    """(value): the rows of `wide` as text, tabs between, NA for null, without a column for each amplicon.
+
+    A cell's entries are gathered, sorted by the amplicon's place and joined; of several for one amplicon the least place
+    in sorted order is taken, entries of other amplicons are left out, missing ones are NA. The header is not among them.
+    """
+    spark = dense.sparkSession
+    places = spark.createDataFrame(list(enumerate(amplicons)), "place int, amplicon string")
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("NA"))
+    entries = dense.join(places, "amplicon").groupBy("cell", "place").agg(F.min(F.concat(text(tot), F.lit("\t"), text(mod))).alias("entry"))
+    cells = entries.groupBy("cell").agg(F.array_sort(F.collect_list(F.struct("place", "entry"))).alias("e"))
+    n = len(amplicons)
+    at = F.map_from_entries("e")
+    filled = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.coalesce(F.try_element_at(at, i), F.lit("NA\tNA")))
+    values = F.when(F.size("e") == n, F.transform("e", lambda x: x["entry"])).otherwise(filled)  # dense tables have an entry for each amplicon
+    return cells.select(F.concat_ws("\t", "cell", values).alias("value"))
+
+
+def unpivot_wide(lines: DataFrame, header: str) -> DataFrame:
+    """(cell, amplicon, tot, mod) of the wide table's lines (value) under its header; NA, and what is no number, is null."""
+    columns = header.split("\t")
+    at = {c: i for i, c in enumerate(columns)}
+    names = amplicon_names(columns)
+    triples = "\t".join(f"{a}\n{at.get(f'totCount.{a}', -1)}\n{at.get(f'modPct.{a}', -1)}" for a in names)
+    panel = F.transform(F.split(F.lit(triples), "\t"), lambda x: F.split(x, "\n"))  # one literal, however many amplicons
+    rows = lines.where(F.col("value") != header).select(F.split("value", "\t").alias("f"))
+    each = rows.select(F.get("f", F.lit(at["cell"])).alias("cell"), "f", F.explode(panel).alias("p"))
+    field = lambda i: F.get("f", F.get("p", F.lit(i)).cast("int"))
+    return each.select("cell", F.get("p", F.lit(0)).alias("amplicon"), field(1).try_cast("long").alias("tot"), field(2).try_cast("double").alias("mod"))
 
 
 def amplicon_names(columns: list[str]) -> list[str]:

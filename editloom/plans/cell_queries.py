@@ -271,7 +271,7 @@ def pivot_raw_scored(t):
 
 @query("unpivot_metrics", oracle("SELECT cell, amplicon, tot, mod FROM dense", "dense"))
 def unpivot_metrics(t):
-    return summary.unpivot_wide(summary.wide(dense(t), NAMES))
+    return summary.unpivot_wide(summary.wide_lines(dense(t), NAMES), summary.wide_header(NAMES))
 
 
 @query("select_metric_columns", oracle("SELECT cell, " + ", ".join(f"max(tot) FILTER (amplicon = '{a}') AS \"totCount.{a}\"" for a in NAMES) + " FROM dense GROUP BY cell", "dense"))

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import alleles, assign, demux, export, summary
-from ..sources import fastq, sinks, text
+from ..operators import alleles, assign, checks, demux, export, summary
+from ..sources import fastq, sam, sinks, text
 from . import cell_queries as cq
 from . import read_queries as rq
 from .cell_queries import NAMES
@@ -153,10 +153,68 @@ def scan_allele_parquet(t):
 @query("write_tagged_reads", ORACLES["tag_reads"])
 def write_tagged_reads(t):
     path = path_of(t, "tagged")
-    sinks.write_tagged_reads(demux.tag_reads(rq.flagged(t)), path)
+    sinks.write_tagged_reads(rq.flagged(t), path)
     return t.spark.read.parquet(path)
 
 
+@query("parse_funnel_observed", ORACLES["parse_funnel"])
+def parse_funnel_observed(t):
+    """The funnel's counters as the job that writes the tagged reads observes them."""
+    counts = sinks.write_tagged_reads(rq.flagged(t), path_of(t, "tagged"))
+    return t.spark.createDataFrame([tuple(counts.values())], ", ".join(f"{c} long" for c in counts))
+
+
+@query("split_totals_observed", ORACLES["split_totals"])
+def split_totals_observed(t):
+    """The totals of assignment as the job that writes pairs by amplicon observes them."""
+    counts = sinks.write_reads_by_amplicon(t.stage("strict", lambda: rq.strict(t)), path_of(t, "by-amplicon"))
+    return t.spark.createDataFrame([tuple(counts.values())], ", ".join(f"{c} long" for c in counts))
+
+
+_SPOILED = """SELECT name, CASE WHEN substr(name, 4, 1) = '0' THEN concat('X', name) ELSE name END AS name2, seq1, CASE WHEN substr(name, 2, 1) = '0' THEN substr(qual1, 2) ELSE qual1 END AS qual1,
+    seq2, CASE WHEN substr(name, 3, 2) = '11' THEN concat(qual2, 'I') ELSE qual2 END AS qual2, substr(name, 5, 2) <> '00' AS marked FROM {read_pairs}"""
+_INPUT_CHECKS = " UNION ALL ".join(f"SELECT '{name}' AS \"check\", count(*) AS total, count(*) FILTER (NOT ({c})) AS failed, min(name) FILTER (NOT ({c})) AS example FROM spoiled" for name, c in (
+    ("records have their marks", "marked"), ("qualities of R1", "length(seq1) = length(qual1)"), ("qualities of R2", "length(seq2) = length(qual2)"), ("names of mates", "name = name2")))
+
+
+@query("assert_inputs", oracle("SELECT * FROM (WITH spoiled AS (" + _SPOILED.format(read_pairs="read_pairs") + ") " + _INPUT_CHECKS + ") q", "read_pairs"))
+def assert_inputs(t):
+    """Checks of FASTQ files of which some records are spoiled: marks, numbers of qualities, names of mates."""
+    path = path_of(t, "spoiled")
+    rows = t.spark.sql(_SPOILED, read_pairs=t.table("read_pairs")).repartition("name").sortWithinPartitions("name", "seq1", "seq2")
+    for i, name in ((1, "name"), (2, "name2")):
+        plus = "'+'" if i == 1 else "if(marked, '+', 'x')"
+        rows.select(sinks.fastq_line(name, f"seq{i}", f"qual{i}", plus)).write.text(f"{path}/r{i}")
+    read = fastq.read_checked_pairs(t.spark, sinks.files_of(t.spark, f"{path}/r1"), sinks.files_of(t.spark, f"{path}/r2"), strict=False)
+    return checks.failures(read, checks.pair_constraints(), F.col("name"))
+
+
+def _sorted_sam(t):
+    """Alignments as name-sorted text: some names without their second mate, some with a further record."""
+    path = path_of(t, "sorted-sam")
+    rows = t.table("alignments").where("NOT (flag & 128 <> 0 AND substr(qname, 2, 1) = '0')")
+    more = t.table("alignments").where("flag & 128 = 0 AND substr(qname, 3, 1) = '0'").withColumn("flag", F.col("flag").bitwiseOR(256))
+    fields = F.concat_ws("\t", "qname", F.col("flag").cast("string"), "chr", (F.col("pos") + 1).cast("string"), F.col("mapq").cast("string"), "cigar", F.lit("*"), F.lit("0"), F.lit("0"), "seq", "qual")
+    lines = rows.unionByName(more).repartitionByRange("qname").sortWithinPartitions("qname", "flag", "pos", "cigar").select(fields.alias("value"))
+    lines.write.text(path)
+    return sam.name_sorted_pairs(t.spark, sinks.files_of(t.spark, path), split_bytes=1 << 20)
+
+
+_RECORDS = "records AS (SELECT *, (flag & 128) <> 0 AS second FROM alignments WHERE NOT ((flag & 128) <> 0 AND substr(qname, 2, 1) = '0') UNION ALL SELECT * REPLACE (CAST(flag | 256 AS INT) AS flag), false FROM alignments WHERE (flag & 128) = 0 AND substr(qname, 3, 1) = '0')"
+_ONE = {c: [f"any_value({c}) FILTER ({'NOT ' * (i == 1)}second) AS {c}{i}" for i in (1, 2)] for c in ("flag", "chr", "pos", "mapq", "cigar", "seq", "qual")}
+
+
+@query("scan_sam_sorted_pairs", oracle(f"SELECT * FROM (WITH {_RECORDS} SELECT qname, {', '.join(x for pair in _ONE.values() for x in pair)} FROM records GROUP BY qname HAVING count(*) = 2 AND count(*) FILTER (second) = 1) q", "alignments"))
+def scan_sam_sorted_pairs(t):
+    return _sorted_sam(t)[0]
+
+
+@query("sam_unpaired_names", oracle(f"SELECT * FROM (WITH {_RECORDS} SELECT qname, CAST(count(*) AS INT) AS records, CAST(count(*) FILTER (NOT second) AS INT) AS firsts FROM records GROUP BY qname HAVING NOT (count(*) = 2 AND count(*) FILTER (second) = 1)) q", "alignments"))
+def sam_unpaired_names(t):
+    """Names without a mate or with more than two records: the job that pairs them can refuse them, or count them."""
+    return _sorted_sam(t)[1]
+
+
 @query("write_cell_counts", oracle("SELECT cell, count(*) AS reads FROM aligned_pairs GROUP BY cell", "aligned_pairs"))
 def write_cell_counts(t):
     path = path_of(t, "cell-counts")
@@ -167,7 +225,7 @@ def write_cell_counts(t):
 @query("write_reads_by_amplicon", oracle("SELECT qname, cell, coalesce(amplicon, 'unidentified') AS amplicon, amp1, amp2, amp1_aln, amp2_aln, rescued FROM strict", "strict"))
 def write_reads_by_amplicon(t):
     path = path_of(t, "by-amplicon")
-    sinks.write_reads_by_amplicon(rq.strict(t), path, files=1)
+    sinks.write_reads_by_amplicon(t.stage("strict", lambda: rq.strict(t)), path)
     return t.spark.read.parquet(path).select("qname", "cell", "amplicon", *assign.CALLS, "rescued")
 
 

@@ -9,7 +9,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.summary import wide
+from ..operators import assign, demux
+from ..operators.checks import Watched
+from ..operators.summary import wide_header, wide_lines
 
 
 def scratch(spark: SparkSession, purpose: str) -> str:
@@ -51,18 +53,49 @@ def write_fastq_pairs(pairs: DataFrame, path: str, lanes: int | None = None, com
         by_lane.select(fastq_line("name", f"seq{i}", f"qual{i}")).write.mode("overwrite").text(f"{path}/r{i}", compression="gzip" if compress else "none")
 
 
-def write_tagged_reads(tagged: DataFrame, path: str) -> None:
-    tagged.write.mode("overwrite").parquet(path)
+def write_tagged_reads(flagged: DataFrame, path: str) -> dict[str, int]:
+    """Writes the tagged reads of flagged pairs and returns the funnel's counters, counted by the same job in one pass over the pairs."""
+    watched = Watched(flagged, demux.funnel_counters())
+    demux.tag_reads(watched.df).write.mode("overwrite").parquet(path)
+    return watched.counts
 
 
 def write_cell_counts(reads_per_cell: DataFrame, path: str) -> None:
     _tsv(reads_per_cell.select("cell", "reads"), path, header=False)
 
 
-def write_reads_by_amplicon(assigned: DataFrame, path: str, files: int = 8) -> None:
-    """Partitioned by amplicon, up to `files` files each; pairs that were not assigned are the partition `unidentified`."""
-    rows = assigned.withColumn("amplicon", F.coalesce("amplicon", F.lit("unidentified")))
-    rows.repartition("amplicon", F.pmod(F.xxhash64("qname"), F.lit(files))).write.mode("overwrite").partitionBy("amplicon").parquet(path)
+#: Rows of a file that is partitioned by amplicon, about.
+FILE_ROWS = 2_000_000
+
+
+def by_size(rows: DataFrame, by: str, tie: str, file_rows: int = FILE_ROWS) -> DataFrame:
+    """rows dealt out so that each value of `by` has as many files as its rows fill, and small values one file each.
+
+    A histogram of `by`, a row for each value, says how many; it is joined as a table of unknown size. The rows of a
+    large value are told apart by a hash of `tie`, which should hardly repeat. Columns stay as they are.
+    """
+    files = rows.groupBy(F.col(by).alias("_value")).agg(F.ceil(F.count("*") / file_rows).cast("int").alias("_files"))
+    part = F.pmod(F.xxhash64(tie), "_files")
+    dealt = rows.join(files, F.col(by).eqNullSafe(F.col("_value")), "left").withColumn("_part", part)
+    return dealt.repartition(by, "_part").drop("_value", "_files", "_part")
+
+
+def dealt_writer(dealt: DataFrame, by: str, file_rows: int = FILE_ROWS):
+    """A writer of by_size's rows, a folder for each value of `by`. Parts that meet in a task do not share a file beyond a quarter more than file_rows."""
+    return dealt.write.mode("overwrite").option("maxRecordsPerFile", file_rows + file_rows // 4).partitionBy(by)
+
+
+def write_reads_by_amplicon(assigned: DataFrame, path: str, file_rows: int = FILE_ROWS) -> dict[str, int]:
+    """Partitioned by amplicon; pairs that were not assigned are the partition `unidentified`. Returns the totals of assignment.
+
+    Files hold about file_rows pairs. The totals are counted behind the last shuffle by the job that writes, so tasks
+    that run again do not count twice.
+    """
+    amplicon = F.coalesce("amplicon", F.lit("unidentified"))
+    dealt = by_size(assigned.withColumn("_folder", amplicon), "_folder", "qname", file_rows)
+    watched = Watched(dealt, assign.split_counters())
+    dealt_writer(watched.df.withColumn("amplicon", F.col("_folder")).drop("_folder"), "amplicon", file_rows).parquet(path)
+    return watched.counts
 
 
 def write_split_reports(reports: dict[str, DataFrame], path: str) -> None:
@@ -73,14 +106,14 @@ def write_split_reports(reports: dict[str, DataFrame], path: str) -> None:
 
 def write_cell_summaries(cell_amplicon: DataFrame, path: str) -> None:
     """TSV partitioned by amplicon."""
-    rows = cell_amplicon.repartition("amplicon", F.pmod(F.xxhash64("cell"), F.lit(8))).sortWithinPartitions("amplicon", "cell")
-    rows.write.mode("overwrite").partitionBy("amplicon").csv(path, sep="\t", header=True, nullValue="NA", quote="")
+    rows = by_size(cell_amplicon, "amplicon", "cell").sortWithinPartitions("amplicon", "cell")
+    dealt_writer(rows, "amplicon").csv(path, sep="\t", header=True, nullValue="NA", quote="")
 
 
 def write_consensus_alleles(records: DataFrame, path: str) -> None:
     """FASTQ text, partitioned by amplicon. records: amplicon, header (with @), sequence, quality."""
     text = records.select("amplicon", F.concat_ws("\n", "header", "sequence", F.lit("+"), "quality").alias("value"))
-    text.repartition("amplicon", F.pmod(F.xxhash64("value"), F.lit(8))).write.mode("overwrite").partitionBy("amplicon").text(path)
+    dealt_writer(by_size(text, "amplicon", "value"), "amplicon").text(path)
 
 
 def write_annotated_reads(reads: DataFrame, path: str) -> None:
@@ -90,10 +123,14 @@ def write_annotated_reads(reads: DataFrame, path: str) -> None:
 
 
 def write_matrices(dense: DataFrame, scored: DataFrame, amplicons: list[str], path: str) -> None:
-    """Four wide tables: final and raw counts, of all and of scored cells."""
+    """Four wide tables: final and raw counts, of all and of scored cells. Each file starts with the header, an empty table too."""
+    header = wide_header(amplicons)
     for name, rows in (("all", dense), ("scored", scored)):
         for kind, tot, mod in (("final", "tot", "mod"), ("raw", "raw_tot", "raw_mod")):
-            _tsv(wide(rows, amplicons, tot, mod), f"{path}/{kind}_{name}")
+            lines = wide_lines(rows, amplicons, tot, mod)
+            first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0  # of its file
+            lines.select(F.when(first, F.concat(F.lit(header + "\n"), "value")).otherwise(F.col("value"))).write.mode("overwrite").text(f"{path}/{kind}_{name}")
+            rows.sparkSession.createDataFrame([(header,)], "value string").coalesce(1).write.mode("append").text(f"{path}/{kind}_{name}")
 
 
 def write_cell_quality(quality: DataFrame, path: str) -> None:
@@ -101,7 +138,7 @@ def write_cell_quality(quality: DataFrame, path: str) -> None:
 
 
 def write_allele_parquet(alleles: DataFrame, path: str) -> None:
-    alleles.repartition("amplicon", F.pmod(F.xxhash64("cell"), F.lit(8))).write.mode("overwrite").partitionBy("amplicon").parquet(path, compression="snappy")
+    dealt_writer(by_size(alleles, "amplicon", "cell"), "amplicon").parquet(path, compression="snappy")
 
 
 def write_layers(tables: dict[str, DataFrame], path: str) -> None:

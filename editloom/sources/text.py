@@ -60,8 +60,12 @@ def cell_summaries(spark: SparkSession, path: str) -> DataFrame:
 
 
 def wide_summary(spark: SparkSession, path: str) -> DataFrame:
-    """A wide summary as (cell, amplicon, tot, mod); NA is null."""
-    return unpivot_wide(spark.read.csv(path, sep="\t", header=True, nullValue="NA"))
+    """A wide summary as (cell, amplicon, tot, mod); NA is null. Lines that repeat the header, as each file's first does, are passed over."""
+    lines = spark.read.text(path)
+    header = lines.first()
+    if header is None:
+        raise ValueError(f"{path} has no header")
+    return unpivot_wide(lines, header["value"])
 
 
 def cell_quality(spark: SparkSession, path: str) -> DataFrame:
