@@ -10,17 +10,20 @@ A text is dropped only if its exact similarity with a text that stays is at leas
 Texts are taken by least key. While buckets are large, each is compared with its first text only, if that one comes
 first in all its buckets and so stays for certain. What is left is compared in blocks of a bucket by sketches, the last
 bytes of all `ROWS` * `BANDS` least values: of a pair of 0.8 fewer than 119 of 192 are equal with a chance of 1e-9. Only
-pairs that pass go on to the exact comparison.
+pairs that pass go on to the exact comparison. The pairs that are similar are a graph; each of its components is settled
+by one task, text by text in the order of keys, so that long chains of revisions take no rounds of their own. Only
+components of more than `SETTLED` pairs are worked off in rounds.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import block_runs, free_names, run_batches, written
+from .components import connected_components
 from .simhash import RADIUS, covering_masks, fingerprint_of, shingle_hashes, signed, text_words
 
 WORDS = 5
@@ -34,6 +37,8 @@ BLOCK = 512
 SKETCH_SHARE = 0.62
 #: Pairs of one text that a task compares.
 PAIRS = 1024
+#: Similar pairs of a component that one task settles.
+SETTLED = 1_000_000
 
 
 def shingle_set(hashes) -> object:
@@ -155,9 +160,15 @@ def similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return rows.mapInArrow(near, "a long, b long")
 
 
+def _firsts(rows: DataFrame) -> DataFrame:
+    """(bucket, first): the node of least key of each bucket of at least two nodes. Partial aggregates, so no task sees a large bucket whole."""
+    found = rows.groupBy("bucket").agg(F.count("*").alias("size"), F.min(F.struct("least", "node"))["node"].alias("first"))
+    return found.where("size > 1").select("bucket", "first")
+
+
 def _shared(rows: DataFrame) -> DataFrame:
-    """Rows of buckets of at least two nodes."""
-    return rows.withColumn("size", F.count("*").over(Window.partitionBy("bucket"))).where("size > 1").drop("size")
+    """Rows of buckets of at least two nodes, with the bucket's first node. Spark's adaptive join splits the rows of a large bucket."""
+    return rows.drop("first").join(_firsts(rows), "bucket")
 
 
 def _without(rows: DataFrame, column: str, gone: DataFrame) -> DataFrame:
@@ -184,6 +195,45 @@ def _alike(batches: Iterator) -> Iterator:
         yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
 
 
+def _settle(edges):
+    """The nodes that go of a component's pairs (a before b): a node goes if one before it is like it and stays."""
+    import pyarrow as pa
+
+    before: dict[int, int] = {}
+    after: dict[int, list[int]] = {}
+    for a, b in zip(edges["a"].to_pylist(), edges["b"].to_pylist()):
+        before[b] = before.get(b, 0) + 1
+        after.setdefault(a, []).append(b)
+    ready, gone = [a for a in after if a not in before], set()
+    while ready:
+        node = ready.pop()
+        for b in after.get(node, ()):
+            if node not in gone:
+                gone.add(b)
+            before[b] -= 1
+            if not before[b]:
+                ready.append(b)
+    return pa.table([pa.array(sorted(gone), pa.int64())], names=["node"])
+
+
+def settled(edges: DataFrame, most: int = SETTLED) -> list[DataFrame]:
+    """Tables (node) of the nodes that go, for distinct pairs (a before b) of similar nodes."""
+    if edges.isEmpty():
+        return []
+    roots = connected_components(edges)
+    # A component's root, its least node, has no row of its own.
+    marked = written(edges.join(roots, edges["a"] == roots["node"], "left").select(F.coalesce("root", "a").alias("root"), "a", "b"), "copies-components")
+    large = written(marked.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") > most).select("root"), "copies-large")
+    small = marked.join(large, "root", "left_anti")
+    gone = [written(small.groupBy("root").applyInArrow(_settle, "node long"), "copies-gone")]
+    edges = written(marked.join(large, "root", "left_semi").select("a", "b"), "copies-edges")
+    while not edges.isEmpty():
+        stay = edges.select("a").distinct().join(edges.select(F.col("b").alias("a")).distinct(), "a", "left_anti")
+        gone.append(written(edges.join(stay, "a", "left_semi").select(F.col("b").alias("node")).distinct(), "copies-gone"))
+        edges = written(_without(_without(edges, "a", gone[-1]), "b", gone[-1]), "copies-edges")
+    return gone
+
+
 def dropped_nodes(distinct: DataFrame, documents: DataFrame, key: str, text: str, words: int, similarity: float) -> DataFrame:
     """(node): nodes with a node of at least `similarity` that comes earlier and stays. distinct: node, least, buckets, sketch."""
     rows = written(_shared(distinct.select("node", "least", F.explode("buckets").alias("bucket"))), "copies-buckets")
@@ -191,20 +241,16 @@ def dropped_nodes(distinct: DataFrame, documents: DataFrame, key: str, text: str
     sets = written(_sets(documents.join(needed, key, "left_semi").select(text), words), "copies-sets")
     gone = []
     for _ in range(ROUNDS):
-        first = F.min(F.struct("least", "node")).over(Window.partitionBy("bucket"))["node"]
-        pairs = written(rows.select(first.alias("a"), F.col("node").alias("b")).where("a <> b").distinct(), "copies-pairs")
+        pairs = written(rows.select(F.col("first").alias("a"), F.col("node").alias("b")).where("a <> b").distinct(), "copies-pairs")
         if pairs.isEmpty():
             break
         sure = written(_without(pairs, "a", pairs.select("b")), "copies-sure")
         gone.append(written(similar(sure, sets, similarity).select(F.col("b").alias("node")).distinct(), "copies-gone"))
         rows = written(_shared(_without(_without(rows, "node", gone[-1]), "node", sure.select("a"))), "copies-buckets")
-    left = rows.join(distinct.select("node", "sketch"), "node").select("bucket", "least", "node", "sketch")
+    left = rows.drop("first").join(distinct.select("node", "sketch"), "node").select("bucket", "least", "node", "sketch")
     pairs = written(block_runs(left, ["bucket"], "node", BLOCK, "copies-blocks").mapInArrow(_alike, "a long, b long").distinct(), "copies-pairs")
     edges = written(similar(pairs, sets, similarity), "copies-edges")
-    while not edges.isEmpty():
-        stay = edges.select("a").distinct().join(edges.select(F.col("b").alias("a")).distinct(), "a", "left_anti")
-        gone.append(written(edges.join(stay, "a", "left_semi").select(F.col("b").alias("node")).distinct(), "copies-gone"))
-        edges = written(_without(_without(edges, "a", gone[-1]), "b", gone[-1]), "copies-edges")
+    gone += settled(edges)
     out = rows.select("node").where("false")
     for part in gone:
         out = out.union(part)
