@@ -8,7 +8,9 @@ streams batches of them through Arrow. A member that cannot be read keeps its ro
 
 from __future__ import annotations
 
+import contextlib
 import struct
+import time
 import uuid
 import zipfile
 import zlib
@@ -35,6 +37,29 @@ class ByteRange(InputPartition):
     end: int
 
 
+def _waits(tries: int) -> list[float]:
+    """Seconds between tries: a tenth, then four times as long each."""
+    return [0.1 * 4**i for i in range(tries - 1)]
+
+
+class _Handle:
+    """An archive that is opened when it is read from, and again after close()."""
+
+    def __init__(self, files, path: str):
+        self.files, self.path, self.opened = files, path, None
+
+    def file(self):
+        if self.opened is None:
+            self.opened = self.files.open_input_file(self.path)
+        return self.opened
+
+    def close(self) -> None:
+        if self.opened is not None:
+            with contextlib.suppress(OSError):
+                self.opened.close()
+            self.opened = None
+
+
 class ArchiveReader(DataSourceReader):
     def __init__(self, options: dict):
         self.path = options["path"]
@@ -58,13 +83,20 @@ class ArchiveReader(DataSourceReader):
         files, root = fs.FileSystem.from_uri(self.path)
         path = f"{root}/{partition.archive}"
         schema = pa.schema([("archive", pa.string()), ("member", pa.string()), ("offset", pa.int64()), ("media", pa.binary()), ("error", pa.string())])
-        with files.open_input_file(path) as f, zipfile.ZipFile(f) as z:
-            members = sorted((m for m in z.infolist() if partition.start <= m.header_offset < partition.end), key=lambda m: m.header_offset)
+        for wait in (*_waits(self.tries), None):
+            try:
+                with files.open_input_file(path) as f, zipfile.ZipFile(f) as z:
+                    members = sorted((m for m in z.infolist() if partition.start <= m.header_offset < partition.end), key=lambda m: m.header_offset)
+                break
+            except OSError:
+                if wait is None:
+                    raise  # the task fails, and Spark runs it again elsewhere
+                time.sleep(wait)
         rows: list[tuple] = []
         size = 0
-        with files.open_input_file(path) as f:
+        with contextlib.closing(_Handle(files, path)) as handle:
             for m in members:
-                media, error = self._member(f, m)
+                media, error = self._member(handle, m)
                 rows.append((partition.archive, m.filename, m.header_offset, media, error))
                 size += len(media or b"")
                 if size >= BATCH_BYTES:
@@ -73,10 +105,14 @@ class ArchiveReader(DataSourceReader):
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), schema)], schema=schema)
 
-    def _member(self, f, m: zipfile.ZipInfo) -> tuple[bytes | None, str | None]:
+    def _member(self, handle: _Handle, m: zipfile.ZipInfo) -> tuple[bytes | None, str | None]:
+        """(media, None), or (None, error) after all tries; each try after the first waits and opens the archive anew."""
         error = None
-        for _ in range(self.tries):
+        for wait in (None, *_waits(self.tries)):
             try:
+                if wait is not None:
+                    time.sleep(wait)
+                f = handle.file()
                 name, extra = struct.unpack("<HH", f.read_at(30, m.header_offset)[26:30])
                 raw = f.read_at(m.compress_size, m.header_offset + 30 + name + extra)
                 media = zlib.decompress(raw, -15) if m.compress_type == zipfile.ZIP_DEFLATED else raw
@@ -85,6 +121,7 @@ class ArchiveReader(DataSourceReader):
                 return media, None
             except (OSError, ValueError, zlib.error, struct.error) as e:
                 error = f"{type(e).__name__}: {e}"
+                handle.close()
         return None, error
 
 

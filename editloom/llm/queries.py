@@ -38,8 +38,9 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(chat.sample_conversation(spark))
-    return chat.digest(chat.read_chats(chat.format_chats(chat.conversation_records(turns), "conv_id", "turn", carried="whole")))
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    records = chat.conversation_records(turns).unionByName(chat.sample_record(spark), allowMissingColumns=True)
+    return chat.digest(chat.read_chats(chat.format_chats(records, "conv_id", "turn", carried="whole")))
 
 
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,7 +107,7 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), {quote} ORDER BY turn, role, text)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(text, {quote} ORDER BY turn, role, text) FILTER (role = 'assistant'), {quote})) AS loss_sha256,
-  CAST(sum(length('{chat.START}{chat.SEP}{chat.END}') + length({escaped('role')}) + length({escaped('text')})) AS BIGINT) AS formatted_chars, 'turn row' AS layouts
+  CAST(sum(length('{chat.START}{chat.SEP}{chat.END}') + length({escaped('role')}) + length({escaped('text')})) AS BIGINT) AS formatted_chars, CASE WHEN conv_id = -1 THEN 'messages' ELSE 'turn row' END AS layouts
 FROM said GROUP BY conv_id"""
 
 
