@@ -38,6 +38,9 @@ def second_last_field(name: Column) -> Column:
     return F.try_element_at(F.split(name, ":"), F.lit(-2))
 
 
+# The fields of an annotation, " ALN=", "DEL= INS= SUB=" and "ALN_REF", in the patterns below.
+
+
 def annotation_reference(line: Column) -> Column:
     return F.regexp_extract(line, r" ALN=(\S+) ", 1)
 

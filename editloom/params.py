@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, fields
 
+# The defaults below (constants, adapter, tiers, weights, cutoffs) and the classes' names are fixed values of the method.
 QUALITY_CLASSES = ("HQ_HI", "HQ_LO", "LQ_HI", "LQ_LO")
 
 
