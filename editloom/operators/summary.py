@@ -72,7 +72,14 @@ def wide_lines(dense: DataFrame, amplicons: list[str], tot: str = "tot", mod: st
     return cells.select(F.concat_ws("\t", "cell", values).alias("value"))
 
 
-def unpivot_wide(lines: DataFrame, header: str) -> DataFrame:
+def unpivot_wide(table: DataFrame) -> DataFrame:
+    """Wide totCount.X, modPct.X columns back to (cell, amplicon, tot, mod)."""
+    names = amplicon_names(table.columns)
+    each = F.array(*[F.struct(F.lit(a).alias("amplicon"), F.col(f"`totCount.{a}`").cast("long").alias("tot"), F.col(f"`modPct.{a}`").cast("double").alias("mod")) for a in names])
+    return table.select("cell", F.explode(each).alias("x")).select("cell", "x.*")
+
+
+def unpivot_lines(lines: DataFrame, header: str) -> DataFrame:
     """(cell, amplicon, tot, mod) of the wide table's lines (value) under its header; NA, and what is no number, is null."""
     columns = header.split("\t")
     at = {c: i for i, c in enumerate(columns)}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.summary import unpivot_wide
+from ..operators.summary import unpivot_lines
 
 
 def barcode_whitelist(spark: SparkSession, path: str) -> DataFrame:
@@ -65,7 +65,7 @@ def wide_summary(spark: SparkSession, path: str) -> DataFrame:
     header = lines.first()
     if header is None:
         raise ValueError(f"{path} has no header")
-    return unpivot_wide(lines, header["value"])
+    return unpivot_lines(lines, header["value"])
 
 
 def cell_quality(spark: SparkSession, path: str) -> DataFrame:

@@ -26,5 +26,5 @@ def test_missing_entries_are_na(spark):
     dense = spark.createDataFrame(rows, "cell string, amplicon string, tot long, mod double")
     lines = summary.wide_lines(dense, ["B", "A"])
     assert sorted(r["value"] for r in lines.collect()) == ["c1\t3\t0.5\tNA\tNA", "c2\t1\t100.0\tNA\tNA"]
-    back = sorted(map(tuple, summary.unpivot_wide(lines, summary.wide_header(["B", "A"])).collect()))
+    back = sorted(map(tuple, summary.unpivot_lines(lines, summary.wide_header(["B", "A"])).collect()))
     assert back == [("c1", "A", None, None), ("c1", "B", 3, 0.5), ("c2", "A", None, None), ("c2", "B", 1, 100.0)]
