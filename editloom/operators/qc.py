@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..params import QUALITY_CLASSES, QualityParams
-from .summary import attach_quality, quality_group, select_cells
+from .quantiles import quantiles
+from .summary import attach_quality, panel_array, quality_group, select_cells
 
 THRESHOLDS = (1, 5, 10, 25, 50, 100)
 SHARES = (1.0, 0.9, 0.8, 0.5)
@@ -42,9 +43,8 @@ def cell_depths(dense: DataFrame, quality: DataFrame, params: QualityParams = Qu
 
 def depth_by_group(dense: DataFrame, quality: DataFrame, params: QualityParams = QualityParams()) -> DataFrame:
     """Five-number summary of cell depths by quality group."""
-    q = F.percentile(F.col("reads").cast("double"), F.lit([0.0, 0.25, 0.5, 0.75, 1.0]))
-    found = cell_depths(dense, quality, params).groupBy("quality_group").agg(F.count("*").alias("cells"), q.alias("q"))
-    return found.select("quality_group", "cells", *[F.get("q", F.lit(i)).alias(n) for i, n in enumerate(("least", "lower", "median", "upper", "most"))])
+    found = quantiles(cell_depths(dense, quality, params), ["quality_group"], "reads", [0.0, 0.25, 0.5, 0.75, 1.0])
+    return found.select("quality_group", F.col("n").alias("cells"), *[F.get("quantiles", F.lit(i)).alias(n) for i, n in enumerate(("least", "lower", "median", "upper", "most"))])
 
 
 def mean_depth_by_group(dense: DataFrame, quality: DataFrame, params: QualityParams = QualityParams()) -> DataFrame:
@@ -57,19 +57,48 @@ def edited_sites_histogram(dense: DataFrame, quality: DataFrame, params: Quality
     return per_cell.groupBy("edited_sites").agg(F.count("*").alias("cells"))
 
 
-def cell_patterns(dense: DataFrame, quality: DataFrame, params: QualityParams = QualityParams()) -> DataFrame:
-    """(cell, pattern): the edited amplicons of each selected cell, sorted."""
-    return select_cells(dense, quality, params).groupBy("cell").agg(F.array_join(F.array_sort(F.collect_list(F.when(F.col("mod") != 0, F.col("amplicon")))), ",").alias("pattern"))
+def sorted_panel(dense: DataFrame) -> DataFrame:
+    """(panel): the names of all amplicons, sorted, in one row."""
+    return panel_array(dense.where("amplicon IS NOT NULL"), F.col("amplicon"))
+
+
+def cell_bitmaps(dense: DataFrame, quality: DataFrame, params: QualityParams = QualityParams()) -> DataFrame:
+    """(cell, bitmap, sites): the edited amplicons of each selected cell as bits, and their number.
+
+    Bit p % 64 of word p / 64 stands for the amplicon in place p of the sorted panel. Words end with the last that has a
+    bit, so equal sets have equal bitmaps; a cell without edits has none. 20,000 amplicons take 2.5 KB at most.
+    """
+    places = sorted_panel(dense).select(F.posexplode("panel").alias("place", "amplicon"))
+    edited = F.coalesce(F.when(F.col("mod") != 0, F.expr("shiftleft(1L, place % 64)")), F.lit(0).cast("long"))
+    words = select_cells(dense, quality, params).join(places, "amplicon", "left").groupBy("cell", F.shiftright("place", 6).alias("word")).agg(F.bit_or(edited).alias("bits"))
+    some = F.col("bits") != 0
+    cells = words.groupBy("cell").agg(F.map_from_entries(F.collect_list(F.when(some, F.struct("word", "bits")))).alias("at"), F.max(F.when(some, F.col("word"))).alias("last"), F.sum(F.bit_count("bits")).alias("sites"))
+    filled = F.transform(F.sequence(F.lit(0), F.col("last")), lambda i: F.coalesce(F.try_element_at("at", i), F.lit(0).cast("long")))
+    return cells.select("cell", F.when(F.col("last").isNull(), F.array().cast("array<bigint>")).otherwise(filled).alias("bitmap"), "sites")
+
+
+def with_names(bitmaps: DataFrame, dense: DataFrame) -> DataFrame:
+    """Adds pattern: the names of a bitmap's amplicons, sorted, commas between. The panel is one row of bounded size."""
+    bit = lambda i: F.getbit(F.coalesce(F.get("bitmap", F.shiftright(i, 6)), F.lit(0).cast("long")), i.bitwiseAND(F.lit(63)))
+    return bitmaps.join(F.broadcast(sorted_panel(dense))).withColumn("pattern", F.array_join(F.filter("panel", lambda name, i: bit(i) == 1), ",")).drop("panel")
 
 
 def edit_combinations(dense: DataFrame, quality: DataFrame, params: QualityParams = QualityParams()) -> DataFrame:
-    return cell_patterns(dense, quality, params).groupBy("pattern").agg(F.count("*").alias("cells"))
+    """(pattern, cells): grouped by bitmaps; only different ones get names."""
+    counts = cell_bitmaps(dense, quality, params).groupBy("bitmap").agg(F.count("*").alias("cells"))
+    return with_names(counts, dense).select("pattern", "cells")
 
 
 def top_edit_combinations(dense: DataFrame, quality: DataFrame, n: int = 5, params: QualityParams = QualityParams()) -> DataFrame:
-    """(cell, pattern) of the cells with one of the n most frequent patterns; amplicons that none of them edits appear in no pattern."""
-    best = edit_combinations(dense, quality, params).orderBy(F.desc("cells"), "pattern").limit(n)
-    return cell_patterns(dense, quality, params).join(best, "pattern", "left_semi").select("cell", "pattern")
+    """(cell, pattern) of the cells with one of the n most frequent patterns; amplicons that none of them edits appear in no pattern.
+
+    Only patterns as frequent as the n-th get names, which settle ties.
+    """
+    bitmaps = cell_bitmaps(dense, quality, params)
+    counts = bitmaps.groupBy("bitmap").agg(F.count("*").alias("cells"))
+    least = counts.orderBy(F.desc("cells")).limit(n).agg(F.min("cells").alias("least"))  # one row
+    best = with_names(counts.join(F.broadcast(least)).where("cells >= least"), dense).orderBy(F.desc("cells"), "pattern").limit(n)
+    return bitmaps.join(best.select("bitmap", "pattern"), "bitmap").select("cell", "pattern")
 
 
 def cells_per_amplicon_at_depth(scored: DataFrame) -> DataFrame:

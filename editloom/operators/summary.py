@@ -6,6 +6,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..params import QUALITY_CLASSES, QualityParams
+from .quantiles import quantiles
+
+#: A panel of more amplicons is refused, as each executor holds its names.
+PANEL_LIMIT = 1_000_000
+
+
+def panel_array(entries: DataFrame, entry: Column) -> DataFrame:
+    """(panel): one row with the sorted distinct entries of the panel of amplicons; more than PANEL_LIMIT are an error."""
+    size = F.raise_error(F.format_string("The panel has %d amplicons, more than %d", F.size("a"), F.lit(PANEL_LIMIT)))
+    found = entries.select(entry.alias("e")).distinct().agg(F.array_sort(F.collect_list("e")).alias("a"))
+    return found.select(F.when(F.size("a") <= PANEL_LIMIT, F.col("a")).otherwise(size).alias("panel"))
 
 
 def usable_amplicons(status: DataFrame, summarized: DataFrame | None = None) -> DataFrame:
@@ -34,9 +45,9 @@ def densify(summary: DataFrame, status: DataFrame, summarized: DataFrame | None
     """
     usable = usable_amplicons(status, summarized).withColumn("usable", F.lit(True))
     names = status.select("amplicon").join(usable, "amplicon", "left")
-    listed = names.agg(F.array_sort(F.collect_list(F.struct("amplicon", F.coalesce("usable", F.lit(False)).alias("usable")))).alias("a"))  # the panel of amplicons
+    listed = panel_array(names, F.struct("amplicon", F.coalesce("usable", F.lit(False)).alias("usable")))
     cells = summary.join(usable, "amplicon", "left_semi").select("cell").distinct()
-    frame = cells.join(F.broadcast(listed)).select("cell", F.explode("a").alias("a")).select("cell", "a.*")
+    frame = cells.join(F.broadcast(listed)).select("cell", F.explode("panel").alias("a")).select("cell", "a.*")
     full = frame.join(summary, ["cell", "amplicon"], "left")
     count = lambda c: F.when(F.col("usable"), F.coalesce(F.col(c), F.lit(0))).cast("long")
     share = lambda c: F.when(F.col("usable"), F.col(c))
@@ -117,7 +128,7 @@ def scored_rows(dense: DataFrame, params: QualityParams = QualityParams()) -> Da
 
 def amplicon_percentiles(dense: DataFrame, params: QualityParams = QualityParams()) -> DataFrame:
     """(amplicon, quantiles): exact interpolated quantiles of the raw counts, zeros included."""
-    return scored_rows(dense, params).groupBy("amplicon").agg(F.percentile(F.col("raw_tot").cast("double"), F.lit(list(params.tiers))).alias("quantiles"))
+    return quantiles(scored_rows(dense, params), ["amplicon"], "raw_tot", params.tiers).drop("n")
 
 
 def amplicon_score(dense: DataFrame, params: QualityParams = QualityParams()) -> DataFrame:
@@ -146,7 +157,7 @@ def barcode_rank(scores: DataFrame) -> DataFrame:
 def quality_class(ranked: DataFrame, params: QualityParams = QualityParams()) -> DataFrame:
     """Adds color: the score against the median of cells within the depth cutoff, and the rank against the cutoff."""
     near = F.col("barcode_rank") <= params.depth_cutoff
-    median = ranked.where(near).agg(F.percentile("amplicon_score", F.lit(0.5)).alias("_cutoff"))
+    median = ranked.where(near).agg(F.percentile("amplicon_score", F.lit(0.5)).alias("_cutoff"))  # of depth_cutoff cells at most
     high = F.when(F.col("amplicon_score") >= F.col("_cutoff"), "HQ").otherwise("LQ")
     return ranked.crossJoin(F.broadcast(median)).withColumn("color", F.concat(high, F.lit("_"), F.when(near, "HI").otherwise("LO"))).drop("_cutoff")  # one row
 
