@@ -1,8 +1,8 @@
 """Chat formatting: records of many layouts become canonical turns and then one marked text per conversation.
 
-A record is a JSON object. The set of its nested field paths (names only, not the types of scalars, and without fields
-that say nothing of the turns, such as ids) is hashed; the hash selects a declarative mapping, an SQL expression that
-turns the record into an array of (role, text) turns. Records of an unknown layout keep their fingerprint and give no
+A record is a JSON object. The set of its nested field paths (names only, not the types of scalars, and without scalar
+fields that no layout names) is hashed; the hash selects a declarative mapping, an SQL expression that turns the record
+into an array of (role, text) turns. Fields left aside are counted, unless they are ids and the like. Records of an unknown layout keep their fingerprint and give no
 turns; they are counted in their conversation and returned by unknown_records, so that a mapping can be added.
 
 Template: `<|im_start|>` role `<|im_sep|>` text `<|im_end|>`. Inside roles and texts a backslash is doubled, and a
@@ -12,6 +12,7 @@ be undone by dropping each backslash and keeping what follows it. Everything is
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -21,7 +22,7 @@ START, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 #: Control strings of the common chat templates.
 CONTROL_STRINGS = (START, SEP, END, "<|system|>", "<|user|>", "<|assistant|>", "<|endoftext|>", "<|startoftext|>", "<|eot_id|>",
                    "<|start_header_id|>", "<|end_header_id|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
-#: Scalar fields that a record or turn may have or lack without being of another layout.
+#: Scalar fields that say nothing of the turns: left aside without being counted, also where a layout names them.
 PASSED_OVER = ("id", "idx", "index", "name", "source", "dataset", "model", "lang", "language", "timestamp", "created", "weight", "score", "category", "conversation_id", "conv_id", "parent_id")
 TURNS = "array<struct<role:string,text:string>>"
 #: Turns with a role or text of more characters go beside their JSON records: the JSON parser refuses strings of over 20,000,000.
@@ -50,6 +51,10 @@ def _listed(path: str, role: str, text: str) -> str:
             f"try_variant_get(m.{text},'$','string'))))")
 
 
+_TOOL_CALLS = (
+    "transform(variant_get(v,'$.messages','array<struct<role:string,content:string,tool_calls:array<struct<function:struct<name:string,arguments:string>>>>>'), m -> "
+    "named_struct('role',m.role,'text',concat_ws('\n',m.content,transform(m.tool_calls, c -> to_json(c.function)))))")
+
 _INSTRUCTION_INPUT = (
     "array(named_struct('role','user','text',concat(coalesce(variant_get(v,'$.instruction','string'),''),"
     "if(coalesce(variant_get(v,'$.input','string'),'')='','',concat('\\n\\n',variant_get(v,'$.input','string'))))),"
@@ -66,22 +71,41 @@ LAYOUTS = (
     Layout("instruction with input", '{"instruction":"","input":"","output":""}', _INSTRUCTION_INPUT),
     Layout("messages", '{"messages":[{"role":"","content":""}]}', _listed("messages", "role", "content")),
     Layout("messages of parts", '{"messages":[{"role":"","content":[{"type":"","text":""}]}]}', _listed("messages", "role", "content")),
+    Layout("messages with tool calls", '{"messages":[{"role":"","content":"","tool_calls":[{"type":"","function":{"name":"","arguments":""}}]}]}', _TOOL_CALLS),
+    Layout("no messages", '{"messages":[]}', "array()"),
+    Layout("no conversations", '{"conversations":[]}', "array()"),
     Layout("conversations", '{"conversations":[{"from":"","value":""}]}', _listed("conversations", "from", "value")),
     Layout("system and messages", '{"system":"","messages":[{"role":"","content":""}]}',
            "concat(array(named_struct('role','system','text',variant_get(v,'$.system','string')))," + _listed("messages", "role", "content") + ")"),
 )
 
 
-def layout_fingerprint(variant: Column) -> Column:
-    """Hash of the nested field paths of a variant, but those of PASSED_OVER; null for what is no object.
+def _without(paths: Column, fields: str) -> Column:
+    return F.regexp_replace(F.regexp_replace(paths, fields, ""), ", >", ">")
+
+
+def _scalar_fields(names: str) -> str:
+    """Pattern of scalar fields in a schema without the types of scalars. What follows ARRAY< is a type, not a field."""
+    return rf"(?<=[< ])(?<!ARRAY<){names}(?:, |(?=>))"
+
+
+def _unnamed(layouts: tuple[Layout, ...]) -> str:
+    named = sorted({n for layout in layouts for n in re.findall(r'"(\w+)":', layout.example)})
+    return _scalar_fields(rf"(?!(?:{'|'.join(named)})[,>])(?:`(?:[^`]|``)+`|[^\s`:,<>]+)")
+
+
+def field_paths(variant: Column) -> Column:
+    """The schema of a variant without the types of scalars and without the scalar fields of PASSED_OVER.
 
     A field that is a scalar of one type here and of another there counts as a scalar.
     """
     scalar = r": (STRING|VOID|BIGINT|DOUBLE|BOOLEAN|DECIMAL\([0-9,]*\)|DATE|TIMESTAMP|TIMESTAMP_NTZ|BINARY|FLOAT|VARIANT)(?=[,>])"
-    paths = F.regexp_replace(F.schema_of_variant(variant), scalar, "")
-    paths = F.regexp_replace(paths, rf"(?<=[< ])(?:{'|'.join(PASSED_OVER)})(?:, |(?=>))", "")
-    paths = F.regexp_replace(paths, ", >", ">")
-    return F.when(paths.startswith("OBJECT<"), F.xxhash64(paths))
+    return _without(F.regexp_replace(F.schema_of_variant(variant), scalar, ""), _scalar_fields(f"(?:{'|'.join(PASSED_OVER)})"))
+
+
+def layout_fingerprint(paths: Column, layouts: tuple[Layout, ...] = LAYOUTS) -> Column:
+    """Hash of field paths, but those of scalar fields with names that no layout has; null for what is no object."""
+    return F.when(paths.startswith("OBJECT<"), F.xxhash64(_without(paths, _unnamed(layouts))))
 
 
 def escape(text: Column) -> Column:
@@ -96,30 +120,37 @@ def unescape(text: Column) -> Column:
 
 
 def canonical_turns(records: DataFrame, record: str = "record", layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
-    """Adds fingerprint, layout (name or null) and turns (array of role and text) to rows with a JSON string `record`.
+    """Adds fingerprint, layout (name or null), turns (array of role and text) and passed_over to rows with a JSON string `record`.
 
     Null or broken JSON, arrays and scalars have no layout. A null text becomes empty, a null role the empty string.
-    A record with further fields has another fingerprint, so another layout, unless they are scalars of PASSED_OVER.
+    Further scalar fields that no layout names don't make another layout; passed_over is the number of their paths,
+    without those of PASSED_OVER, so that a mapping can be added for what should not be left aside. Further fields that
+    some layout names, or that hold objects or lists, make another layout. Empty lists of messages give no turns. Calls
+    of tools follow a message's text, each as a line of JSON with name and arguments.
     """
-    df = records.withColumn("_v", F.try_parse_json(record)).withColumn("fingerprint", layout_fingerprint(F.col("_v")))
+    df = records.withColumn("_v", F.try_parse_json(record)).withColumn("_paths", field_paths(F.col("_v")))
+    df = df.withColumn("fingerprint", layout_fingerprint(F.col("_paths"), layouts))
     name, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
     for layout in reversed(layouts):
-        known = F.col("fingerprint") == layout_fingerprint(F.parse_json(F.lit(layout.example)))
+        known = F.col("fingerprint") == layout_fingerprint(field_paths(F.parse_json(F.lit(layout.example))), layouts)
         name = F.when(known, F.lit(layout.name)).otherwise(name)
         turns = F.when(known, F.expr(layout.turns.replace("(v,", "(`_v`,")).cast(TURNS)).otherwise(turns)
     df = df.withColumn("layout", name).withColumn("turns", turns)
     clean = F.transform("turns", lambda t: F.struct(F.coalesce(t["role"], F.lit("")).alias("role"), F.coalesce(t["text"], F.lit("")).alias("text")))
-    return df.withColumn("turns", F.coalesce(clean, F.array().cast(TURNS))).drop("_v")
+    df = df.withColumn("turns", F.coalesce(clean, F.array().cast(TURNS)))
+    aside = F.when(F.col("layout").isNotNull(), F.regexp_count("_paths", F.lit(_unnamed(layouts))))
+    return df.withColumn("passed_over", F.coalesce(aside, F.lit(0))).drop("_v", "_paths")
 
 
 def unknown_records(records: DataFrame, record: str = "record", layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
     """The rows of records without a layout, with their fingerprint (null for what is no object)."""
-    return canonical_turns(records, record, layouts).where("layout IS NULL").drop("layout", "turns")
+    return canonical_turns(records, record, layouts).where("layout IS NULL").drop("layout", "turns", "passed_over")
 
 
 def format_chats(records: DataFrame, conversation: str, seq: str, record: str = "record", layouts: tuple[Layout, ...] = LAYOUTS,
                  trained_role: str = "assistant", carried: str | None = None) -> DataFrame:
-    """One row per conversation: formatted text, n_turns, loss_spans, layouts (names, with commas) and unknown (records without a layout).
+    """One row per conversation: formatted text, n_turns, loss_spans, layouts (names, with commas), unknown (records without a layout)
+    and passed_over (fields left aside in the others).
 
     `carried` names a column with the whole turn (role, text) of records that hold only its beginning, and null for others.
 
@@ -133,11 +164,11 @@ def format_chats(records: DataFrame, conversation: str, seq: str, record: str =
         whole = F.col(carried)
         filled = F.struct(F.coalesce(whole["role"], F.lit("")).alias("role"), F.coalesce(whole["text"], F.lit("")).alias("text"))
         turns = turns.withColumn("turns", F.when(whole.isNotNull(), F.array(filled)).otherwise(F.col("turns")))
-    rows = turns.select(F.col(conversation).alias("conversation"), F.col(seq).alias("seq"), F.col(record).alias("record"), whole.alias("whole"), "layout",
+    rows = turns.select(F.col(conversation).alias("conversation"), F.col(seq).alias("seq"), F.col(record).alias("record"), whole.alias("whole"), "layout", "passed_over",
                         F.posexplode_outer("turns").alias("at", "turn"))
     head = F.concat(F.lit(START), escape(F.col("turn.role")), F.lit(SEP))
     body = escape(F.col("turn.text"))
-    rows = rows.select("conversation", "seq", "record", "whole", "layout", "at", F.col("turn.role").alias("role"), head.alias("head"), body.alias("body"))
+    rows = rows.select("conversation", "seq", "record", "whole", "layout", "passed_over", "at", F.col("turn.role").alias("role"), head.alias("head"), body.alias("body"))
     rows = rows.withColumn("piece", F.concat("head", "body", F.lit(END)))
     order = Window.partitionBy("conversation").orderBy("seq", "record", "whole", "at")
     rows = rows.withColumn("n", F.row_number().over(order)).withColumn(
@@ -147,9 +178,10 @@ def format_chats(records: DataFrame, conversation: str, seq: str, record: str =
     grouped = rows.groupBy("conversation").agg(
         F.array_sort(F.collect_list(F.when(F.col("piece").isNotNull(), F.struct("n", "piece")))).alias("pieces"),
         F.array_sort(F.collect_list(span)).alias("loss_spans"),
-        F.array_join(F.array_sort(F.collect_set("layout")), ",").alias("layouts"), F.count_if(F.col("layout").isNull()).alias("unknown"))
+        F.array_join(F.array_sort(F.collect_set("layout")), ",").alias("layouts"), F.count_if(F.col("layout").isNull()).alias("unknown"),
+        F.sum(F.when(F.coalesce("at", F.lit(0)) == 0, F.col("passed_over")).otherwise(0)).alias("passed_over"))
     return grouped.select(F.col("conversation").alias(conversation), F.size("pieces").cast("long").alias("n_turns"),
-                          F.array_join(F.col("pieces.piece"), "").alias("formatted"), "loss_spans", "layouts", "unknown")
+                          F.array_join(F.col("pieces.piece"), "").alias("formatted"), "loss_spans", "layouts", "unknown", "passed_over")
 
 
 def read_chats(formatted: DataFrame, text: str = "formatted") -> DataFrame:
