@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 LAST_KEY = 2**63 - 1
+#: A key is heavy if more than one row in HEAVY has it: so there are fewer than HEAVY heavy keys in any table.
+HEAVY = 1000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,18 +58,6 @@ def order_key(key: Column) -> Column:
     return F.coalesce(key.cast("long"), F.lit(LAST_KEY))
 
 
-def range_bounds(df: DataFrame, key: Column, buckets: int) -> list[int]:
-    """First keys of about `buckets` ranges of near equal row counts; the first bound is the least key.
-
-    The driver gets `buckets` numbers at most, whatever the size of df; every bound is a key of df.
-    """
-    shares = [i / buckets for i in range(1, buckets)]
-    found = df.select(key.alias("k")).agg(
-        F.min("k").alias("least"), F.percentile_approx("k", shares, max(10_000, 20 * buckets)).alias("cuts")
-    ).first()
-    return [] if found["least"] is None else sorted({found["least"], *(found["cuts"] or [])})
-
-
 def constant_array(values: list, kind: str) -> Column:
     """A constant array<kind>: one literal, however many values."""
     if not values:
@@ -82,11 +72,6 @@ def count_at_most(values: list, x: Column, kind: str = "bigint") -> Column:
     return F.aggregate(steps, F.lit(0), lambda n, step: F.when(F.get(array, n + step - 1) <= x, n + step).otherwise(n))
 
 
-def range_bucket(key: Column, bounds: list[int]) -> Column:
-    """Number of the range that a key is in: 0 to len(bounds) - 1."""
-    return count_at_most(bounds[1:], key)
-
-
 def hashed_text(text: str) -> Column:
     """Orders rows of the same key: 0 to 2**62 - 1."""
     return F.shiftrightunsigned(F.xxhash64(text), 2)
@@ -132,6 +117,18 @@ def with_running_total(df: DataFrame, within: list[str], bucket: str, order: lis
     return joined.withColumn(start, (F.col("_inside") + F.col("_before")).cast("long")).drop(*drop)
 
 
+def join_counted(rows: DataFrame, values: DataFrame, key: str, count: str) -> DataFrame:
+    """rows.join(values, key), without the column `count`: the number of a key's rows. values has one row for each key.
+
+    Rows of heavy keys stay where they are and meet the few broadcast values; only the others are shuffled, so no task
+    gets the rows of a hot key. Both tables are read twice and should be written ones. Keys are not null.
+    """
+    most = rows.count() // HEAVY
+    heavy = F.broadcast(values.where(F.col(count) > most).drop(count))  # fewer than HEAVY rows
+    light = values.where(F.col(count) <= most).drop(count)
+    return rows.join(heavy, key).unionByName(rows.join(heavy, key, "left_anti").join(light, key))
+
+
 def block_runs(rows: DataFrame, by: list[str], member: str, block: int, purpose: str) -> DataFrame:
     """Rows that are to be compared with each other: column `run`, then those of rows but `by`; a run's rows follow each other.
 

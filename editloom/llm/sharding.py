@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucket_count, constant_array, count_at_most, order_key, range_bounds, range_bucket, with_running_total, written
+from .common import bucket_count, constant_array, count_at_most, join_counted, order_key, range_cuts, range_number, with_running_total, written
 
 FIRST_INTERVALS = 1 << 16
 MORE_INTERVALS = 1 << 14
@@ -95,22 +95,22 @@ def shard_documents(documents: DataFrame, shards: int, key: str = "doc_id", text
     """(key, size, text_crc32, shard, slot): groups of equal texts stay together, shard sizes are minimax.
 
     A document's size is its text's UTF-8 bytes plus 1. A null text counts as empty and is in the group of empty texts.
-    Slots number a shard's rows from 0 in ascending key order, null keys last. Fewer groups than shards leave the last
-    shards empty; an empty table gives no rows.
+    Slots number a shard's rows from 0 in ascending key order, null keys last, rows of one key by a hash of their text.
+    Fewer groups than shards leave the last shards empty; an empty table gives no rows. A text of very many rows is no
+    hot key of the join, and rows of a hot key are spread by their texts.
     """
     spark = documents.sparkSession
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
     rows = written(documents.select(F.col(key).cast("long").alias("key"), (F.octet_length(body) + 1).cast("long").alias("size"),
                                     F.crc32(body).alias("text_crc32"), F.unhex(F.sha2(body, 256)).alias("text_id")), "shard-rows")
-    place = order_key(F.col("key"))
-    bounds = range_bounds(rows, place, bucket_count(spark))
-    groups = rows.groupBy("text_id").agg(F.sum("size").alias("bytes"), F.min(place).alias("first"))
-    groups = groups.withColumn("bucket", range_bucket(F.col("first"), bounds))
-    groups = with_running_total(groups, [], "bucket", ["first", "text_id"], "bytes", "start")
-    groups = written(groups.select("text_id", "start", (F.col("start") + F.col("bytes")).alias("end")), "shard-groups")
+    place, tie = order_key(F.col("key")), F.shiftrightunsigned(F.xxhash64("text_id"), 2)
+    cuts_of_keys = range_cuts(rows, F.col("key"), bucket_count(spark))
+    groups = rows.groupBy("text_id").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"), F.min(place).alias("first"))
+    groups = groups.withColumn("bucket", range_number(F.col("first"), tie, cuts_of_keys))
+    groups = with_running_total(groups, [], "bucket", ["first", tie, "text_id"], "bytes", "start")
+    groups = written(groups.select("text_id", "rows", "start", (F.col("start") + F.col("bytes")).alias("end")), "shard-groups")
     _, cuts = minimax_cuts(groups, shards)
-    shard = count_at_most(cuts, F.col("start"))
-    placed = rows.join(groups.select("text_id", shard.alias("shard")), "text_id")
-    placed = placed.withColumn("bucket", range_bucket(place, bounds)).withColumn("one", F.lit(1))
-    placed = with_running_total(placed, ["shard"], "bucket", [place, "text_id"], "one", "slot")
+    placed = join_counted(rows, groups.select("text_id", "rows", count_at_most(cuts, F.col("start")).alias("shard")), "text_id", "rows")
+    placed = placed.withColumn("bucket", range_number(F.col("key"), tie, cuts_of_keys)).withColumn("one", F.lit(1))
+    placed = with_running_total(placed, ["shard"], "bucket", [place, tie, "text_id"], "one", "slot")
     return placed.select(F.col("key").alias(key), "size", "text_crc32", "shard", "slot")

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import block_runs, run_batches, written
+from .common import block_runs, join_counted, run_batches, written
 from .components import connected_components
 
 RADIUS = 3
@@ -128,11 +128,14 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
 
     component_id is the least key that links of at most `radius` differing bits reach, the document's own included;
     texts without words are linked like others. Null keys take part but are never a component's id, unless a component
-    has no other key: then it is null. An empty table gives no rows.
+    has no other key: then it is null. An empty table gives no rows. A fingerprint of very many documents, or a component
+    of very many fingerprints, is no hot key of a join.
     """
     docs = written(with_fingerprints(documents, key, text, words), "simhash")
-    distinct = written(docs.groupBy("fp").agg(F.min("key").alias("least")), "simhash-distinct")
+    distinct = written(docs.groupBy("fp").agg(F.min("key").alias("least"), F.count("*").alias("rows")), "simhash-distinct")
     components = connected_components(fingerprint_links(distinct.select("fp"), radius))
-    roots = distinct.join(components, distinct["fp"] == components["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    ids = roots.join(roots.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
-    return docs.join(ids, "fp").select(F.col("key").alias(key), "fp", "component_id")
+    roots = distinct.join(components, distinct["fp"] == components["node"], "left").select("fp", "rows", "least", F.coalesce("root", "fp").alias("root"))
+    roots = written(roots, "simhash-roots")
+    least = roots.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("fingerprints"))
+    ids = written(join_counted(roots.drop("least"), least, "root", "fingerprints").select("fp", "rows", "component_id"), "simhash-ids")
+    return join_counted(docs, ids, "fp", "rows").select(F.col("key").alias(key), "fp", "component_id")
