@@ -504,6 +504,13 @@ def layer_table(t):
 def obs_table(t):
     from dataclasses import replace
 
+    return export.obs_table(dense(t), summary.cell_quality(dense(t), replace(QUALITY, min_total_reads=150)))
+
+
+@query("obs_table_low_gate", oracle("SELECT cell, coalesce(amplicon_score, 0) AS amplicon_score, coalesce(read_count, 0) AS read_count, coalesce(barcode_rank, -1) AS barcode_rank, coalesce(color, 'Unknown') AS color FROM (SELECT DISTINCT cell FROM dense) d LEFT JOIN (SELECT * FROM quality WHERE read_count >= 35) q USING (cell)", "quality"))
+def obs_table_low_gate(t):
+    from dataclasses import replace
+
     return export.obs_table(dense(t), summary.cell_quality(dense(t), replace(QUALITY, min_total_reads=35)))
 
 
