@@ -56,3 +56,34 @@ def test_later_amplicons_overwrite_windows(spark):
     at = {(r["side"], r["pos"]): r["amplicon"] for r in lookups.position_windows(amplicons).collect()}
     assert at[(1, 100)] == "a" and at[(1, 101)] == "b" and at[(1, 107)] == "b" and at[(2, 203)] == "a" and (1, 108) not in at
     assert [tuple(r) for r in lookups.duplicate_locations(amplicons).collect()] == []
+
+
+def test_entries_of_one_split_are_made_by_many_tasks(spark):
+    """A small file of names is one split; its variants, hundreds for each row, are not made by one task."""
+    amplicons = spark.createDataFrame([(i, f"a{i}", "ACGT" * 8) for i in range(50)], "ordinal int, amplicon string, sequence string").coalesce(1)
+    assert lookups.primer_entries(amplicons).rdd.getNumPartitions() == 4
+    assert lookups.barcode_entries(amplicons.selectExpr("ordinal", "sequence AS barcode")).rdd.getNumPartitions() == 4
+
+
+def test_repeated_names_and_counts_match_a_simulation(spark):
+    """Barcodes that come many times: the first two and the last decide; counts take all of them."""
+    r = random.Random(3)
+    barcodes = spark.createDataFrame([(i, "".join(r.choices("AC", k=3))) for i in range(60)], "ordinal int, barcode string")
+    assert lookups._least_repeats(lookups._named_barcodes(barcodes)).count() <= 3 * 8
+    rows = [tuple(x) for x in lookups.barcode_entries(barcodes).select("ord", "key", "value", "kind").collect()]
+    held, barred, added, clashes = {}, set(), 0, 0
+    for _, key, value, kind in sorted(rows):
+        if kind == "E":
+            held[key] = value
+        elif key in barred:
+            clashes += 1
+        elif key in held:
+            barred.add(key)
+            del held[key]
+            clashes += 2
+        else:
+            held[key], added = value, added + 1
+    assert {x["key"]: x["value"] for x in lookups.barcode_lookup(barcodes).collect()} == held
+    assert tuple(lookups.lookup_counts(lookups.barcode_entries(barcodes)).first()) == (60, added, clashes, len(held))
+    keys = barcodes.selectExpr("barcode AS key").distinct()
+    assert {x["key"]: x["value"] for x in lookups.barcode_lookup_of(keys, barcodes).collect()} == {k: v for k, v in held.items() if set(k) <= set("AC")}
