@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from .fastq import SPLIT_BYTES, _place, list_files
 
 _CHUNK = 1 << 20
+#: Bytes that a task reads, about, if its splits are smaller.
+TASK_BYTES = 32 << 20
 #: The fields that are read of a line, by number.
 FIELDS = {"flag": 1, "chr": 2, "pos": 3, "mapq": 4, "cigar": 5, "seq": 9, "qual": 10}
 _INTS = ("flag", "pos", "mapq")
@@ -131,7 +133,8 @@ def name_sorted_pairs(spark: SparkSession, paths: list[str] | str, split_bytes:
     table = spark.createDataFrame(files, "path string, size long").where("size > 0")
     splits = table.select("path", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(split_bytes))).alias("start"))
     number = max(1, sum(-(-size // split_bytes) for _, size in files))
-    tasks = min(number, 10_000)
+    # Small splits share a task: a task has costs of its own, and there are two for each split.
+    tasks = min(number, 10_000, max(2 * spark.sparkContext.defaultParallelism, -(-sum(size for _, size in files) // TASK_BYTES)))
     splits = splits.withColumn("place", F.row_number().over(Window.orderBy("path", "start")) - 1).repartitionById(tasks, F.expr(f"CAST(place % {tasks} AS INT)"))  # a row for each split
 
     def look(batches: Iterator) -> Iterator:
