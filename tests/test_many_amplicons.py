@@ -1,13 +1,18 @@
-"""Pairs of a large panel share folders, so that files follow the rows and not the amplicons."""
+"""Large panels and many reads: files follow the rows, not the amplicons; sorts and derived tables cost no more than they must."""
 
 from __future__ import annotations
 
+import re
 from pathlib import Path
 
 import pytest
 
+from editloom.plans import read_queries  # noqa: F401  (they register their queries)
+from editloom.plans.registry import QUERIES
 from editloom.sources import sinks
 
+SF = "/root/testdata/sf0.001"
+
 
 @pytest.mark.parametrize("folders", [7, 1000])
 def test_folders_do_not_grow_with_the_panel(spark, tmp_path, folders):
@@ -25,3 +30,16 @@ def test_folders_do_not_grow_with_the_panel(spark, tmp_path, folders):
     for r in read.selectExpr("amplicon", "_metadata.file_path AS f").distinct().collect():
         where.setdefault(r["amplicon"], set()).add(r["f"])
     assert all(len(f) == 1 for f in where.values())  # an amplicon's pairs are in one file
+
+
+@pytest.mark.parametrize("name", ["primer_calls", "position_calls"])
+def test_sorts_of_lookups_begin_with_what_tells_rows_apart(spark, name):
+    """Sorting compares a prefix of the first column: the kind of a seed or a chromosome is the same in most rows."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    first = set(re.findall(r"Sort \[([a-z]+\d?)#", plan))
+    assert first and not first & {"kind", "side", "chr", "chr1", "chr2"}
