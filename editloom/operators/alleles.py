@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 
 from pyspark.sql import Column, DataFrame, Window
@@ -100,12 +101,15 @@ def allele_string(counts: DataFrame) -> DataFrame:
         "amplicon", "cell", F.array_join(F.transform("l", lambda x: F.concat(x["allele_key"], F.lit(":"), x["n"].cast("string"))), ",").alias("allele_string"))
 
 
+#: ln(n!) of n below 256.
+_LOG_FACTORIALS = tuple(itertools.accumulate((math.log(max(n, 1)) for n in range(256)), initial=0.0))[1:]
+
+
 def log_factorial(n: Column) -> Column:
-    """ln(n!): the sum of logarithms, from 256 on Stirling's series, which is exact to double precision there."""
+    """ln(n!): from a table, from 256 on Stirling's series, which is exact to double precision there. Numbers below 0 count as 0."""
     x = n.cast("double")
     series = x * F.log(x) - x + F.log(x * (2 * math.pi)) / 2 + 1 / (x * 12) - 1 / (F.pow(x, F.lit(3)) * 360)
-    summed = F.aggregate(F.sequence(F.lit(1), F.greatest(n, F.lit(1)).cast("int")), F.lit(0.0), lambda a, i: a + F.log(i.cast("double")))
-    return F.when(n < 256, summed).otherwise(series)
+    return F.when(n < 256, F.get(F.lit(list(_LOG_FACTORIALS)), F.greatest(n, F.lit(0)).cast("int"))).otherwise(series)
 
 
 def reference_place(ref: Column) -> Column:

@@ -208,8 +208,10 @@ def attach_wildtype(t):
     return alleles.attach_wildtype(called(t), wild).select("amplicon", "cell", "slot", "wildtype")
 
 
-def consensus(t: Fixtures):
-    return alleles.consensus_alleles(usable(t), alleles.wildtype_allele(t.table("allele_frequencies")), ploidies=ploidies(t))
+def consensus(t: Fixtures, reads=None):
+    """Consensus alleles of all usable reads, or of some cells' reads; the wildtypes are those of all reads."""
+    t.written("annotated_reads")  # the alleles, the wildtypes and the cells' classes are all made of it
+    return alleles.consensus_alleles(usable(t) if reads is None else reads, alleles.wildtype_allele(t.table("allele_frequencies")), ploidies=ploidies(t))
 
 
 @query("consensus_sequence", oracle("SELECT amplicon, cell, ref, slot, allele_key, sequence, adjusted FROM consensus", "consensus"))
@@ -392,7 +394,10 @@ def reads_of_good_cells(t):
 
 @query("alleles_of_good_cells", oracle("SELECT amplicon, cell, slot, sequence FROM consensus WHERE cell IN (SELECT cell FROM quality WHERE color IN ('HQ_HI','HQ_LO'))", "quality", "consensus"))
 def alleles_of_good_cells(t):
-    return summary.select_cells(consensus(t), quality(t), QUALITY).select("amplicon", "cell", "slot", "sequence")
+    """Alleles are called within a cell, so the cells are selected before. They are written, as their number then is known."""
+    t.written("annotated_reads")
+    good = t.stage("good-cells", lambda: quality(t).where(summary.in_classes(QUALITY.selected)))
+    return consensus(t, summary.select_cells(usable(t), good, QUALITY)).select("amplicon", "cell", "slot", "sequence")
 
 
 @query("quality_group_complement", oracle("SELECT cell, CASE WHEN color IN ('HQ_HI','HQ_LO') THEN 'High' ELSE 'Low' END AS quality_group FROM quality", "quality"))

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import math
 import re
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
-from editloom.plans import read_queries  # noqa: F401  (they register their queries)
+from editloom.operators import alleles
+from editloom.plans import cell_queries, read_queries  # noqa: F401  (they register their queries)
+from editloom.plans.fixtures import Fixtures
 from editloom.plans.registry import QUERIES
 from editloom.sources import sinks
 
@@ -43,3 +47,19 @@ def test_sorts_of_lookups_begin_with_what_tells_rows_apart(spark, name):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     first = set(re.findall(r"Sort \[([a-z]+\d?)#", plan))
     assert first and not first & {"kind", "side", "chr", "chr1", "chr2"}
+
+
+def test_reads_are_derived_once_for_alleles_and_classes(spark):
+    t = Fixtures(spark, SF)
+    plan = cell_queries.alleles_of_good_cells(t)._jdf.queryExecution().optimizedPlan().toString()
+    assert {"annotated_reads", "good-cells"} <= set(t._stages) and "lineitem.parquet" not in plan and "l_orderkey" not in plan
+    lines = plan.split("\n")
+    semi = next(i for i, x in enumerate(lines) if "Join LeftSemi" in x)
+    assert any("Aggregate" in x for x in lines[:semi])  # cells are selected before their alleles are called
+
+
+def test_factorials_are_those_of_the_sum(spark):
+    got = spark.range(300).select("id", alleles.log_factorial(F.col("id")).alias("x")).collect()
+    assert all(abs(r["x"] - math.lgamma(r["id"] + 1)) < 1e-11 * max(1, r["x"]) for r in got)
+    assert spark.range(1).select(alleles.log_factorial(F.lit(-1)).alias("x")).first()["x"] == 0
+    assert "aggregate(" not in spark.range(5).select(alleles.log_factorial(F.col("id")))._jdf.queryExecution().optimizedPlan().toString()
