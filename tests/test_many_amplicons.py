@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from editloom.operators import alleles
-from editloom.plans import cell_queries, read_queries  # noqa: F401  (they register their queries)
+from editloom.plans import cell_queries, file_queries, read_queries  # noqa: F401  (they register their queries)
 from editloom.plans.fixtures import Fixtures
 from editloom.plans.registry import QUERIES
 from editloom.sources import sinks
@@ -58,6 +58,12 @@ def test_reads_are_derived_once_for_alleles_and_classes(spark):
     assert any("Aggregate" in x for x in lines[:semi])  # cells are selected before their alleles are called
 
 
+def test_consensus_is_called_once_by_its_sink(spark):
+    t = Fixtures(spark, SF)
+    file_queries.write_consensus_alleles(t)
+    assert "consensus-records" in t._stages
+
+
 def test_factorials_are_those_of_the_sum(spark):
     got = spark.range(300).select("id", alleles.log_factorial(F.col("id")).alias("x")).collect()
     assert all(abs(r["x"] - math.lgamma(r["id"] + 1)) < 1e-11 * max(1, r["x"]) for r in got)
