@@ -9,7 +9,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from editloom.operators import alleles
+from editloom.operators import alleles, lookups
 from editloom.plans import cell_queries, file_queries, read_queries  # noqa: F401  (they register their queries)
 from editloom.plans.fixtures import Fixtures
 from editloom.plans.registry import QUERIES
@@ -69,3 +69,18 @@ def test_factorials_are_those_of_the_sum(spark):
     assert all(abs(r["x"] - math.lgamma(r["id"] + 1)) < 1e-11 * max(1, r["x"]) for r in got)
     assert spark.range(1).select(alleles.log_factorial(F.lit(-1)).alias("x")).first()["x"] == 0
     assert "aggregate(" not in spark.range(5).select(alleles.log_factorial(F.col("id")))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_whole_pairs_are_not_shuffled_for_a_small_lookup(spark):
+    """The lookup of barcodes is a table before pairs are joined, so Spark broadcasts it before it shuffles sequences twice."""
+    plan = QUERIES["tag_reads"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+
+
+def test_repeated_barcodes_have_seeds_once(spark):
+    barcodes = spark.range(40).selectExpr("CAST(id AS INT) AS ordinal", "element_at(array('AAAA', 'AAAC', 'GGTT', 'GGTA'), 1 + CAST(id % 4 AS INT)) AS barcode")
+    named = lookups._repeats_in_one(lookups._named_barcodes(barcodes))
+    assert sorted((r["name_key"], tuple(b // 10_000 for b in r["bases"])) for r in named.collect()) == [("AAAA", (0, 4, 36)), ("AAAC", (1, 5, 37)), ("GGTA", (3, 7, 39)), ("GGTT", (2, 6, 38))]
+    whole = lookups.barcode_lookup(barcodes)
+    keys = lookups.barcode_entries(barcodes).select("key").distinct()
+    assert sorted(map(tuple, lookups.barcode_lookup_of(keys, barcodes).collect())) == sorted(map(tuple, whole.collect()))
