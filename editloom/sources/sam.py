@@ -3,7 +3,7 @@
 Mates follow each other, so a task pairs the lines of its byte range without a shuffle. The group of a name belongs to
 the range in which its first line starts: a task looks back for the name of the line before its range, skips what
 continues that group, and reads on behind its range until its own last group ends. Header lines are passed over; the
-first empty line ends a file.
+first empty line ends a file. A gzip file is read by one task, as it cannot be cut.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .fastq import SPLIT_BYTES, _place, list_files
+from .fastq import SPLIT_BYTES, _chunks, _place, list_files
 
 _CHUNK = 1 << 20
 #: Bytes that a task reads, about, if its splits are smaller.
@@ -21,7 +21,25 @@ TASK_BYTES = 32 << 20
 #: The fields that are read of a line, by number.
 FIELDS = {"flag": 1, "chr": 2, "pos": 3, "mapq": 4, "cigar": 5, "seq": 9, "qual": 10}
 _INTS = ("flag", "pos", "mapq")
-PAIR_SCHEMA = "qname string, records int, firsts int, " + ", ".join(f"{c}{i} {'int' if c in _INTS else 'string'}" for i in (1, 2) for c in FIELDS)
+
+
+def pair_schema(position: str = "int") -> str:
+    """The columns of all names; positions are of type position, int or bigint."""
+    return "qname string, records int, firsts int, " + ", ".join(f"{c}{i} {position if c == 'pos' else 'int' if c in _INTS else 'string'}" for i in (1, 2) for c in FIELDS)
+
+
+def _whole_lines(path: str) -> Iterator[tuple[int, bytes]]:
+    """(number, line) of a gzip file's lines up to the first empty one."""
+    number, rest = 0, b""
+    for chunk in _chunks(path):
+        *lines, rest = (rest + chunk).split(b"\n")
+        for line in lines:
+            if not line:
+                return
+            yield number, line
+            number += 1
+    if rest:
+        yield number, rest
 
 
 def _lines(f, start: int, end: int) -> Iterator[tuple[int, bytes]]:
@@ -90,9 +108,14 @@ def _groups(f, start: int, split_end: int, end: int) -> Iterator[list[bytes]]:
         skipping = None if before.startswith(b"@") else _name(before)
     else:
         skipping = None
+    return _grouped(_lines(f, start, end), skipping, split_end)
+
+
+def _grouped(lines: Iterator[tuple[int, bytes]], skipping: bytes | None = None, split_end: int | None = None) -> Iterator[list[bytes]]:
+    """The lines of each name, after those of the name `skipping`, whose first line is before split_end."""
     group: list[bytes] = []
     name = None
-    for at, line in _lines(f, start, end):
+    for at, line in lines:
         line = line.rstrip(b"\r")
         own = _name(line)
         if line.startswith(b"@") and name is None and skipping is None:
@@ -103,7 +126,7 @@ def _groups(f, start: int, split_end: int, end: int) -> Iterator[list[bytes]]:
         if own != name:
             if group:
                 yield group
-            if at >= split_end:
+            if split_end is not None and at >= split_end:
                 return
             group, name = [], own
         group.append(line)
@@ -121,18 +144,19 @@ def _row(group: list[bytes]) -> tuple:
     return (fields[0][0], len(fields), second.count(False), *picked)
 
 
-def name_sorted_pairs(spark: SparkSession, paths: list[str] | str, split_bytes: int = SPLIT_BYTES) -> tuple[DataFrame, DataFrame]:
+def name_sorted_pairs(spark: SparkSession, paths: list[str] | str, split_bytes: int = SPLIT_BYTES, position: str = "int") -> tuple[DataFrame, DataFrame]:
     """Pairs (qname, then flag, chr, pos, mapq, cigar, seq, qual of each mate, with 1 and 2 behind) and the names that are none (qname, records, firsts).
 
-    pos is 0-based, as elsewhere. A name whose group is not one first and one second mate is in the second table, with
+    pos is 0-based, as elsewhere, and of type position. A name whose group is not one first and one second mate is in the second table, with
     its numbers of records and of first mates; a name that comes in several places, as in files that are not sorted by
-    name, is there several times. Nothing is shuffled but the list of splits; the file is looked through once before for
-    an empty line, which ends it.
+    name, is there several times. Nothing is shuffled but the list of splits; a plain file is looked through once before
+    for an empty line, which ends it. Files that end with .gz are a split each.
     """
     files = list_files([paths] if isinstance(paths, str) else paths)
     table = spark.createDataFrame(files, "path string, size long").where("size > 0")
-    splits = table.select("path", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(split_bytes))).alias("start"))
-    number = max(1, sum(-(-size // split_bytes) for _, size in files))
+    step = F.when(F.col("path").endswith(".gz"), F.col("size")).otherwise(F.lit(split_bytes))
+    splits = table.select("path", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, step)).alias("start"))
+    number = max(1, sum(1 if path.endswith(".gz") else -(-size // split_bytes) for path, size in files))
     # Small splits share a task: a task has costs of its own, and there are two for each split.
     tasks = min(number, 10_000, max(2 * spark.sparkContext.defaultParallelism, -(-sum(size for _, size in files) // TASK_BYTES)))
     splits = splits.withColumn("place", F.row_number().over(Window.orderBy("path", "start")) - 1).repartitionById(tasks, F.expr(f"CAST(place % {tasks} AS INT)"))  # a row for each split
@@ -143,6 +167,8 @@ def name_sorted_pairs(spark: SparkSession, paths: list[str] | str, split_bytes:
         for batch in batches:
             found = []
             for row in batch.to_pylist():
+                if row["path"].endswith(".gz"):
+                    continue
                 fs, inner = _place(row["path"])
                 with fs.open_input_file(inner) as f:
                     at = empty_line(f, row["start"], min(row["size"], row["start"] + split_bytes))
@@ -152,29 +178,38 @@ def name_sorted_pairs(spark: SparkSession, paths: list[str] | str, split_bytes:
 
     ends = {r["path"]: r["at"] for r in splits.mapInArrow(look, "path string, at long").groupBy("path").agg(F.min("at").alias("at")).collect()}  # at most a row for each file
 
+    schema = pair_schema(position)
+
     def read(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        types = [pa.string(), pa.int32(), pa.int32(), *[pa.int32() if c in _INTS else pa.string() for _ in (1, 2) for c in FIELDS]]
-        names = [x.split()[0] for x in PAIR_SCHEMA.split(", ")]
+        of = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64()}
+        names, types = zip(*[(x.split()[0], of[x.split()[1]]) for x in schema.split(", ")], strict=True)
 
         def batch_of(rows: list[tuple]):
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
+        def groups(row: dict) -> Iterator[list[bytes]]:
+            if row["path"].endswith(".gz"):
+                yield from _grouped(_whole_lines(row["path"]))
+                return
+            fs, inner = _place(row["path"])
+            end = min(row["size"], ends.get(row["path"], row["size"]))
+            if row["start"] < end:
+                with fs.open_input_file(inner) as f:
+                    yield from _groups(f, row["start"], row["start"] + split_bytes, end)
+
         for batch in batches:
             for row in batch.to_pylist():
-                fs, inner = _place(row["path"])
-                end = min(row["size"], ends.get(row["path"], row["size"]))
                 rows: list[tuple] = []
-                with fs.open_input_file(inner) as f:
-                    for group in _groups(f, row["start"], row["start"] + split_bytes, end) if row["start"] < end else ():
-                        rows.append(_row(group))
-                        if len(rows) == 4096:
-                            yield batch_of(rows)
-                            rows = []
+                for group in groups(row):
+                    rows.append(_row(group))
+                    if len(rows) == 4096:
+                        yield batch_of(rows)
+                        rows = []
                 if rows:
                     yield batch_of(rows)
 
-    found = splits.mapInArrow(read, PAIR_SCHEMA)
+    found = splits.mapInArrow(read, schema)
     pair = (F.col("records") == 2) & (F.col("firsts") == 1)
     return found.where(pair).drop("records", "firsts"), found.where(~pair).select("qname", "records", "firsts")

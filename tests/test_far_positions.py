@@ -39,7 +39,7 @@ def ordered(columns, rows):
     return sorted((tuple(r[i] for i in at) for r in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", ["position_windows", "amplicon_locations", "scan_amplicon_info", "scan_amplicon_alignments", "scan_sam_pairs", "reads_per_amplicon", "reject_reason_strict", "write_split_reports",
+@pytest.mark.parametrize("name", ["position_windows", "amplicon_locations", "scan_amplicon_info", "scan_amplicon_alignments", "scan_sam_pairs", "scan_sam_sorted_pairs", "sam_unpaired_names", "reads_per_amplicon", "reject_reason_strict", "write_split_reports",
                                   "write_reads_by_amplicon", "split_totals_observed"])
 def test_places_beyond_int(spark, far, name):
     wide, n = CAST.subn(r"\1 as bigint)", ORACLES[name])
