@@ -43,7 +43,7 @@ def test_alignments_by_name_are_the_alignments(spark):
     assert plan.index("ampA") < plan.index("Exchange hashpartitioning(h")  # sequences are derived above the shuffle
 
 
-@pytest.mark.parametrize("name", ["scan_sam_sorted_pairs", "sam_unpaired_names"])
+@pytest.mark.parametrize("name", ["scan_sam_sorted_pairs", "sam_unpaired_names", "scan_sam_pairs"])
 def test_queries_write_compressed_text_and_match_sql(spark, monkeypatch, tmp_path, name):
     paths = []
     monkeypatch.setattr(file_queries, "path_of", lambda t, purpose: paths.append(f"file://{tmp_path}/{purpose}") or paths[-1])
